@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.functions import geo, scoring
-from fleetscope.functions.routes import ROUTE_POINTS, ROUTES
+from fleetscope.functions.routes import ROUTE_POINT_SCHEMA, ROUTE_POINTS, ROUTES
 from fleetscope.functions.timecols import from_millis, with_date_key
 from fleetscope.operators import changelog, dims, motion, ordered, quality
 from fleetscope.operators.asof import interval_join
 from fleetscope.plans import alerts, health, sequences, summaries, trends
-from fleetscope.session import configure
+from fleetscope.session import configure, small_table
 from fleetscope.sources import tables
 from fleetscope.sources.testviews import AS_OF, TestViews
 from fleetscope.streaming import replay
@@ -449,7 +449,10 @@ def daily_shipment_summary_pit(v):
 
 @query
 def daily_shipment_facts(v):
-    return summaries.daily_shipment_facts(v.security_events(), v.lock_assignments(), v.fact_lock_status_changes())
+    history = dims.scd2(v.shipment_log(), "shipment_id", ["status"], "change_time", "seq")
+    return summaries.daily_shipment_facts(
+        v.security_events(), v.lock_assignments(), v.fact_lock_status_changes(), v.shipments(), history, AS_OF
+    )
 
 
 @query
@@ -630,7 +633,7 @@ def trajectory(v):
 
 
 def _expected(v):
-    points = v.spark.createDataFrame(ROUTE_POINTS, "route string, seq int, latitude double, longitude double")
+    points = small_table(v.spark, ROUTE_POINTS, ROUTE_POINT_SCHEMA)
     return motion.route_position(v.route_progress(list(ROUTES)), motion.route_segments(points))
 
 

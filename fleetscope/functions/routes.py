@@ -1,5 +1,7 @@
 """The predefined routes: ordered (latitude, longitude) waypoints."""
 
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
 # ---- fixed values: waypoints of the six routes ---------------------------------------------------
 ROUTES = {
     "BA_MENDOZA": [
@@ -66,3 +68,12 @@ ROUTES = {
 ROUTE_POINTS = [
     (route, seq, lat, lon) for route, points in ROUTES.items() for seq, (lat, lon) in enumerate(points)
 ]
+
+ROUTE_POINT_SCHEMA = StructType(
+    [
+        StructField("route", StringType()),
+        StructField("seq", IntegerType()),
+        StructField("latitude", DoubleType()),
+        StructField("longitude", DoubleType()),
+    ]
+)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fleetscope.operators.hot import SEG, hot_bounds, hot_targets, only_hot, segment_of, with_segment
+from fleetscope.session import small_table
 
 _AT, _SIDE, _TIE, _HIT = "_at", "_side", "_tie", "_hit"
 
@@ -125,9 +127,9 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner")
     if found is None:
         return left.join(right, on, how)
     hot, target = found
-    spark = left.sparkSession
-    salts = spark.createDataFrame([(k, -(-n // target)) for k, n in hot], f"`{on}` {left.schema[on].dataType.simpleString()}, _salts bigint")
-    salts = F.broadcast(salts)  # at most maxSplits rows
+    schema = StructType([StructField(on, left.schema[on].dataType), StructField("_salts", LongType())])
+    rows = [(value, -(-n // target)) for value, n in hot]
+    salts = F.broadcast(small_table(left.sparkSession, rows, schema))  # at most maxSplits rows
     width = F.coalesce("_salts", F.lit(1))
     spread = left.join(salts, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), width)).drop("_salts")
     copies = (

@@ -12,11 +12,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from fleetscope.operators.asof import salted_join
 from fleetscope.operators.hot import SEG, hot_bounds, only_hot, with_segment
-from fleetscope.operators.ordered import over_history
+from fleetscope.operators.ordered import DETECT, over_history
+from fleetscope.session import small_table
 
 
 def _fold_entity(log: DataFrame, key: str, ts: str, order: list[str]) -> DataFrame:
@@ -83,11 +84,13 @@ def with_previous_status(status_log: DataFrame, order: list[str]) -> DataFrame:
 
 OPENS = "opens"
 _START = "_start"
+_LANE = [StructField("lock_id", StringType()), StructField(SEG, IntegerType())]
 
 
 def assignments_from_log(status_log: DataFrame, shipments: DataFrame, order: list[str]) -> DataFrame:
     """Assignment intervals from ``assigned`` and ``released`` messages; ``order`` starts with the time."""
-    return pair_operations(accepted_operations(status_log, shipments, order), order)
+    accepted, hot = _accepted(status_log, shipments, order, None)
+    return pair_operations(accepted, order, hot)
 
 
 def accepted_operations(
@@ -99,6 +102,12 @@ def accepted_operations(
     it names the same shipment; messages without or with an unknown shipment are skipped.
     ``opening`` (lock_id, shipment_id) names what is open before the first message.
     """
+    return _accepted(status_log, shipments, order, opening)[0]
+
+
+def _accepted(
+    status_log: DataFrame, shipments: DataFrame, order: list[str], opening: DataFrame | None
+) -> tuple[DataFrame, DataFrame | None]:
     ops = status_log.filter(F.col("action").isin("assigned", "released") & F.col("shipment_id").isNotNull())
     cols = ["lock_id", "shipment_id", *order, OPENS]
     ops = salted_join(
@@ -114,13 +123,15 @@ def accepted_operations(
         ops = ops.join(known, ["lock_id", SEG], "left").withColumn(_START, F.col("_known")).drop("_known")
     if hot is not None:
         ops = _with_starts(ops, _segment_starts(only_hot(ops, "lock_id", hot), order, hot, opening))
-    return _follow(ops, order).select(*cols)
+    return _follow(ops, order).select(*cols), hot
 
 
-def pair_operations(accepted: DataFrame, order: list[str]) -> DataFrame:
+def pair_operations(accepted: DataFrame, order: list[str], bounds=DETECT) -> DataFrame:
     """Intervals from accepted operations, which alternate open, close, open, ... per lock."""
     ts = order[0]
-    paired = over_history(accepted, "lock_id", order, lambda w: {"released_at": F.lead(ts).over(w)}, ahead=1)
+    paired = over_history(
+        accepted, "lock_id", order, lambda w: {"released_at": F.lead(ts).over(w)}, ahead=1, bounds=bounds
+    )
     return paired.filter(OPENS).select("lock_id", "shipment_id", F.col(ts).alias("assigned_at"), "released_at")
 
 
@@ -154,7 +165,7 @@ def _with_starts(ops: DataFrame, starts: dict) -> DataFrame:
     known = [(lock, seg, shipment) for (lock, seg), shipment in starts.items() if shipment is not None]
     if not known:
         return ops
-    table = ops.sparkSession.createDataFrame(known, f"lock_id string, {SEG} int, _known string")
+    table = small_table(ops.sparkSession, known, StructType([*_LANE, StructField("_known", StringType())]))
     joined = ops.join(F.broadcast(table), ["lock_id", SEG], "left")
     return joined.withColumn(_START, F.coalesce("_known", _START)).drop("_known")
 
@@ -168,7 +179,6 @@ def _segment_starts(ops: DataFrame, order: list[str], hot: DataFrame, opening: D
     the sequential answer; long segments forget their start, so a few rounds do. Only one value per
     segment (at most 2 * maxSplits of them) comes to the driver.
     """
-    spark = ops.sparkSession
     lanes = sorted((r[0], r[1]) for r in ops.select("lock_id", SEG).distinct().collect())
     before = {lane: prev for prev, lane in zip(lanes, lanes[1:]) if prev[0] == lane[0]}
     starts = {lane: None for lane in lanes}
@@ -179,7 +189,7 @@ def _segment_starts(ops: DataFrame, order: list[str], hot: DataFrame, opening: D
     last_ops: dict = {}
     pending = lanes
     while pending:
-        todo = spark.createDataFrame(pending, f"lock_id string, {SEG} int")
+        todo = small_table(ops.sparkSession, pending, StructType(_LANE))
         part = ops.join(F.broadcast(todo), ["lock_id", SEG], "left_semi")
         ends = (
             _follow(_with_starts(part, starts), order)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetscope import model
 from fleetscope.functions.scoring import event_class
 from fleetscope.functions.timecols import date_key, day_of_week0
 from fleetscope.operators.hot import hot_bounds
 from fleetscope.operators.ordered import over_history
+from fleetscope.session import small_table
 
 
 def dim_date(spark: SparkSession, start: str = model.DIM_DATE_START, end: str = model.DIM_DATE_END) -> DataFrame:
@@ -32,7 +34,9 @@ def dim_date(spark: SparkSession, start: str = model.DIM_DATE_START, end: str =
 
 
 def dim_event_type(spark: SparkSession) -> DataFrame:
-    seed = spark.createDataFrame(model.EVENT_TYPE_SEED, "event_type string, category string, description string")
+    columns = ("event_type", "category", "description")
+    schema = StructType([StructField(name, StringType()) for name in columns])
+    seed = small_table(spark, model.EVENT_TYPE_SEED, schema)
     return seed.withColumn("event_class", event_class())
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from fleetscope.session import small_table
+
 MIN_ROWS = "spark.fleetscope.hot.minRows"
 MAX_SPLITS = "spark.fleetscope.hot.maxSplits"
 SEG = "_seg"
@@ -59,7 +61,7 @@ def hot_bounds(df: DataFrame, key: str, order: str) -> DataFrame | None:
     pieces = math.ceil(max(n for _, n in hot) / target)
     width = max(1, math.isqrt(pieces))
     key_field = StructField(key, df.schema[key].dataType)
-    hot_keys = spark.createDataFrame(hot, StructType([key_field, StructField(_N, LongType())]))
+    hot_keys = small_table(spark, hot, StructType([key_field, StructField(_N, LongType())]))
 
     grid = [i / pieces for i in range(pieces)]
     slim = df.select(key, position(df, order).alias(_POS))
@@ -81,7 +83,7 @@ def hot_bounds(df: DataFrame, key: str, order: str) -> DataFrame | None:
     )
     rows = quantiles.select(key, starts.alias("_s")).select(key, blocks.alias(_BLOCKS)).collect()
     schema = StructType([key_field, StructField(_BLOCKS, ArrayType(ArrayType(LongType())))])
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    return small_table(spark, rows, schema)
 
 
 def segment_of(pos: Column, blocks: Column) -> Column:
@@ -97,11 +99,8 @@ def with_segment(df: DataFrame, key: str, order: str, hot: DataFrame | None) ->
     """Add the segment number; the join side is bounded (module comment), hence the broadcast."""
     if hot is None:
         return df.withColumn(SEG, F.lit(0))
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn(SEG, segment_of(position(df, order), F.col(_BLOCKS)))
-        .drop(_BLOCKS)
-    )
+    segment = segment_of(position(df, order), F.col(_BLOCKS)).alias(SEG)
+    return df.join(F.broadcast(hot), key, "left").select(*df.columns, segment)
 
 
 def only_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:

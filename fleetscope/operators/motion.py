@@ -56,47 +56,57 @@ def geofence_breaches(positions: DataFrame, lat: float, lon: float, radius_m: fl
 
 
 def route_segments(points: DataFrame) -> DataFrame:
-    """One row per route: its segments in order with start, end, length and running length.
+    """The legs of each route with the share of the route at which they start and end.
 
-    A route is a short waypoint list, so the result has one small row per route.
+    The first leg is open to the left and the last one to the right, so every progress value falls
+    into exactly one leg. A route is a short waypoint list, so the windows here are tiny.
     """
     w = Window.partitionBy("route").orderBy("seq")
-    here = F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
-    legs = points.withColumns({"a": here, "b": F.lead(here).over(w)}).filter(F.col("b").isNotNull())
-    d_lat, d_lon = F.col("b.lat") - F.col("a.lat"), F.col("b.lon") - F.col("a.lon")
-    legs = legs.withColumn("length", F.sqrt(d_lat * d_lat + d_lon * d_lon))
-    legs = legs.withColumn("upto", F.sum("length").over(w))
-    leg = F.struct("seq", "a", "b", "length", "upto")
-    return legs.groupBy("route").agg(
-        F.sort_array(F.collect_list(leg)).alias("legs"), F.max("upto").alias("total")
+    whole = Window.partitionBy("route")
+    d_lat, d_lon = F.col("to_lat") - F.col("from_lat"), F.col("to_lon") - F.col("from_lon")
+    legs = (
+        points.select(
+            "route",
+            "seq",
+            F.col("latitude").alias("from_lat"),
+            F.col("longitude").alias("from_lon"),
+            F.lead("latitude").over(w).alias("to_lat"),
+            F.lead("longitude").over(w).alias("to_lon"),
+        )
+        .filter(F.col("to_lat").isNotNull())
+        .withColumn("length", F.sqrt(d_lat * d_lat + d_lon * d_lon))
+        .withColumns({"upto": F.sum("length").over(w), "total": F.sum("length").over(whole)})
+    )
+    return legs.withColumns(
+        {
+            "after": F.when(F.col("seq") == F.min("seq").over(whole), float("-inf")).otherwise(
+                F.lag("upto").over(w)
+            ),
+            "until": F.when(F.col("seq") == F.max("seq").over(whole), float("inf")).otherwise(F.col("upto")),
+        }
     )
 
 
-def route_position(progress: DataFrame, segments: DataFrame) -> DataFrame:
+def route_position(progress: DataFrame, legs: DataFrame) -> DataFrame:
     """``expected_lat`` and ``expected_lon`` at ``progress`` (0 to 1, clamped) along each row's route.
 
-    The leg is picked from the route's own array, so each row is looked at once and no range join
-    is needed. ``segments`` has one row per route; Spark broadcasts it while it is small.
+    ``legs`` comes from ``route_segments``. Each row meets the one leg of its route that holds its
+    progress; Spark broadcasts the legs while they are few.
     """
-    at = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("progress"))) * F.col("total")
-    picked = F.coalesce(
-        F.get(F.filter("legs", lambda leg: leg["upto"] >= at), F.lit(0)), F.element_at("legs", -1)
-    )
-    start, end = F.col("_leg.a"), F.col("_leg.b")
-    length, upto = F.col("_leg.length"), F.col("_leg.upto")
-    share = F.when(length > 0, (at - (upto - length)) / length).otherwise(F.lit(0.0))
+    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("progress")))
+    at = share * F.col("total")
+    rows = progress.join(legs, (progress["route"] == legs["route"]) & (at > F.col("after")) & (at <= F.col("until")))
+    into = F.when(F.col("length") > 0, (at - (F.col("upto") - F.col("length"))) / F.col("length"))
+    into = F.when(F.col("progress") >= 1, 1.0).when(F.col("progress") <= 0, 0.0).otherwise(into)
 
     def between(axis: str):
-        inside = start[axis] + share * (end[axis] - start[axis])
-        first, last = F.col("legs")[0]["a"][axis], F.element_at("legs", -1)["b"][axis]
-        return F.when(F.col("progress") >= 1, last).when(F.col("progress") <= 0, first).otherwise(inside)
+        start, end = F.col(f"from_{axis}"), F.col(f"to_{axis}")
+        return F.when(into == 1.0, end).otherwise(start + F.coalesce(into, F.lit(0.0)) * (end - start))
 
-    return (
-        progress.join(segments, "route")
-        .withColumn("_leg", picked)
-        .withColumns({"expected_lat": between("lat"), "expected_lon": between("lon")})
-        .drop("legs", "total", "_leg")
-    )
+    # generated rather than projected: otherwise a later filter on the position, or on a distance to
+    # it, is pushed into the join condition and the long expression runs once per leg and row
+    point = F.inline(F.array(F.struct(between("lat"), between("lon")))).alias("expected_lat", "expected_lon")
+    return rows.select(*[progress[c] for c in progress.columns], point)
 
 
 def route_deviation(positions: DataFrame, threshold_m: float = 500.0) -> DataFrame:

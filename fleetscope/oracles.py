@@ -87,6 +87,8 @@ VIEWS = {
     "days": """
         select cast(strftime(d, '%Y%m%d') as int) as date_key, cast(d as date) as full_date
         from (select unnest(generate_series(timestamp '2024-01-01', timestamp '2027-12-31', interval 1 day)) as d)""",
+    "all_days": """
+        select unnest(generate_series(timestamp '2024-01-01', timestamp '2024-02-10', interval 1 day)) as day""",
     "trend": """
         select date_trunc('hour', e.event_time) as event_hour, d.full_date as event_date, e.event_type,
           t.category as event_category, e.severity, count(*) as event_count
@@ -615,20 +617,36 @@ ORACLES = {
         left join (select shipment_pk, count(distinct lock_id) as locks from lock_assignments group by 1) c
           on c.shipment_pk = s.shipment_pk""",
     "daily_shipment_facts": f"""
-        select coalesce(e.date_key, c.date_key) as date_key, coalesce(e.shipment_pk, c.shipment_pk) as shipment_pk,
-          coalesce(total_events, 0) as total_events, coalesce(critical_events, 0) as critical_events,
-          coalesce(warning_events, 0) as warning_events, coalesce(status_changes, 0) as status_changes,
-          coalesce(compromised_locks, 0) as compromised_locks
-        from (select {_day_key("event_time")} as date_key, shipment_pk, count(*) as total_events,
-                count(*) filter (severity = 'critical') as critical_events,
-                count(*) filter (event_type in ('battery_low', 'connection_lost')) as warning_events
-              from held where shipment_pk is not null group by all) e
-        full join (select {_day_key("h.change_time")} as date_key, a.shipment_pk, count(*) as status_changes,
-                count(distinct case when h.status in ('tampered', 'offline') then h.lock_id end) as compromised_locks
-              from changes h join lock_assignments a on a.lock_id = h.lock_id and h.change_time >= a.assigned_at
-                and (a.released_at is null or h.change_time < a.released_at)
-              group by all) c
-        on c.date_key = e.date_key and c.shipment_pk = e.shipment_pk""",
+        select date_key, shipment_pk, cast(sum(a) as bigint) as total_events, cast(sum(b) as bigint) as critical_events,
+          cast(sum(c) as bigint) as warning_events, cast(sum(d) as bigint) as status_changes,
+          cast(sum(e) as bigint) as compromised_locks, cast(sum(f) as bigint) as total_locks,
+          cast(sum(g) as bigint) as time_in_transit_min
+        from (
+          select {_day_key("event_time")} as date_key, shipment_pk, count(*) as a,
+            count(*) filter (severity = 'critical') as b,
+            count(*) filter (event_type in ('battery_low', 'connection_lost')) as c, 0 as d, 0 as e, 0 as f, 0 as g
+          from held where shipment_pk is not null group by 1, 2
+          union all
+          select {_day_key("h.change_time")}, a.shipment_pk, 0, 0, 0, count(*),
+            count(distinct case when h.status in ('tampered', 'offline') then h.lock_id end), 0, 0
+          from changes h join lock_assignments a on a.lock_id = h.lock_id and h.change_time >= a.assigned_at
+            and (a.released_at is null or h.change_time < a.released_at)
+          group by 1, 2
+          union all
+          select {_day_key("day")}, shipment_pk, 0, 0, 0, 0, 0, count(distinct lock_id), 0
+          from lock_assignments join all_days on day < coalesce(released_at, {AS_OF})
+            and day + interval 1 day > assigned_at
+          group by 1, 2
+          union all
+          select {_day_key("day")}, s.shipment_pk, 0, 0, 0, 0, 0, 0,
+            sum({_SECONDS("least(until, day + interval 1 day)", "greatest(effective_from, day)")}) // 60
+          from (select *, least(effective_to, {AS_OF}) as until from ({_scd2("shipment_log", "shipment_id", "seq")})
+                where status = 'in_transit') h
+          join all_days on day < until and day + interval 1 day > effective_from
+          join shipments s on s.shipment_id = h.shipment_id
+          where effective_from < until
+          group by 1, 2)
+        group by 1, 2""",
     "lock_utilization": "select * from utilization",
     "utilization_histogram": """
         select least(cast(floor(utilization_rate * 10) as bigint) + 1, 10) as bucket, count(*) as locks

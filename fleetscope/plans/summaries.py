@@ -66,44 +66,72 @@ def daily_shipment_summary(
     )
 
 
-def daily_shipment_facts(events: DataFrame, assignments: DataFrame, status_changes: DataFrame) -> DataFrame:
-    """The documented summary per date and shipment: events by class, status changes, compromised locks.
+def _per_day(spans: DataFrame, start: str, end) -> DataFrame:
+    """Each span once per day it touches, with ``day`` and the seconds of that day it covers."""
+    days = F.sequence(F.date_trunc("day", start), F.date_trunc("day", "_end"), F.expr("INTERVAL 1 DAY"))
+    spans = spans.withColumn("_end", end).filter(F.col(start) < F.col("_end"))
+    spans = spans.withColumn("day", F.explode(days))
+    until = F.least(F.col("_end"), F.col("day") + F.expr("INTERVAL 1 DAY"))
+    seconds = seconds_between(until, F.greatest(F.col(start), F.col("day")))
+    return spans.withColumn("seconds", seconds).filter(F.col("day") < F.col("_end")).drop("_end")
 
-    Events belong to the shipment their lock was assigned to at the time.
+
+def daily_shipment_facts(
+    events: DataFrame,
+    assignments: DataFrame,
+    status_changes: DataFrame,
+    shipments: DataFrame,
+    shipment_history: DataFrame,
+    as_of=None,
+) -> DataFrame:
+    """The documented summary per date and shipment.
+
+    Events, status changes and compromised locks belong to the shipment their lock was assigned to
+    at the time; total_locks are the locks assigned at any time of the day; the minutes in transit
+    come from the shipment's status history. The parts are aggregated on their own and summed up in
+    one more grouping instead of being joined.
     """
-    held = interval_join(
-        events, assignments, "lock_id", "event_time", "assigned_at", "released_at", ["shipment_pk"], "inner"
-    )
-    by_event = held.groupBy(date_key("event_time").alias("date_key"), "shipment_pk").agg(
+    part = ["date_key", "shipment_pk"]
+
+    def held(rows: DataFrame, ts: str) -> DataFrame:
+        found = interval_join(
+            rows, assignments, "lock_id", ts, "assigned_at", "released_at", ["shipment_pk"], "inner"
+        )
+        return found.withColumn("date_key", date_key(ts))
+
+    by_event = held(events, "event_time").groupBy(*part).agg(
         F.count("*").alias("total_events"),
         F.sum(severity_flag("critical")).alias("critical_events"),
         F.sum(flag(event_class() == "WARNING")).alias("warning_events"),
     )
-    moved = interval_join(
-        status_changes.select("lock_id", "status", "change_time"),
-        assignments,
-        "lock_id",
-        "change_time",
-        "assigned_at",
-        "released_at",
-        ["shipment_pk"],
-        "inner",
-    )
-    by_lock = (
-        moved.groupBy(date_key("change_time").alias("date_key"), "shipment_pk", "lock_id")
+    changes = held(status_changes.select("lock_id", "status", "change_time"), "change_time")
+    by_change = (
+        changes.groupBy(*part, "lock_id")
         .agg(F.count("*").alias("n"), F.max(flag(is_compromised())).alias("compromised"))
+        .groupBy(*part)
+        .agg(F.sum("n").alias("status_changes"), F.sum("compromised").alias("compromised_locks"))
     )
-    by_change = by_lock.groupBy("date_key", "shipment_pk").agg(
-        F.sum("n").alias("status_changes"), F.sum("compromised").alias("compromised_locks")
+    until = F.coalesce("released_at", ts_lit(as_of))
+    by_lock = (
+        _per_day(assignments.select("shipment_pk", "lock_id", "assigned_at", "released_at"), "assigned_at", until)
+        .select(date_key("day").alias("date_key"), "shipment_pk", "lock_id")
+        .distinct()
+        .groupBy(*part)
+        .agg(F.count("*").alias("total_locks"))
     )
-    return by_event.join(by_change, ["date_key", "shipment_pk"], "full").select(
-        "date_key",
-        "shipment_pk",
-        *[
-            _zero(c)
-            for c in ("total_events", "critical_events", "warning_events", "status_changes", "compromised_locks")
-        ],
+    moving = shipment_history.filter(F.col("status") == "in_transit")
+    by_transit = (
+        _per_day(moving, "effective_from", F.least(F.col("effective_to"), ts_lit(as_of)))
+        .groupBy(date_key("day").alias("date_key"), "shipment_id")
+        .agg(F.floor(F.sum("seconds") / 60).alias("time_in_transit_min"))
+        .join(shipments.select("shipment_pk", "shipment_id"), "shipment_id")
+        .drop("shipment_id")
     )
+    measures = by_event
+    for more in (by_change, by_lock, by_transit):
+        measures = measures.unionByName(more, allowMissingColumns=True)
+    names = [c for c in measures.columns if c not in part]
+    return measures.groupBy(*part).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 
 def lock_utilization(assignments: DataFrame, as_of=None) -> DataFrame:

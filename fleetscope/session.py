@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -37,6 +39,12 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few fixed rows as a local relation: part of the plan, with a known size and no tasks of its own."""
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}
+    return spark.createDataFrame(pa.table(columns)).to(schema)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 

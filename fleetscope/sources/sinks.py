@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope import model
@@ -45,6 +45,14 @@ def refresh_view(df: DataFrame, sink: Lake | Database, name: str) -> None:
     write_table(df, sink, name, mode="overwrite")
 
 
+def write_snapshot(df: DataFrame, sink: Lake | Database, name: str) -> int:
+    """Replace a snapshot table and tell how many rows it got, counted while they were written."""
+    seen = Observation(name)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_table(counted, sink, name, mode="overwrite")
+    return seen.get["rows"]
+
+
 def topic_rows(df: DataFrame, key_col: str, encode=None) -> DataFrame:
     """Key and value columns as a topic sink needs them; JSON unless ``encode`` says otherwise."""
     record = F.struct(*df.columns)
@@ -64,8 +72,7 @@ class BatchTable:
     """A table written one micro-batch at a time; each batch owns the folder ``batch_id=<id>``.
 
     Spark may run a batch again after a failure. The batch then replaces its own folder, so rows are
-    never doubled. The first write after the data of a batch is complete decides, readers see
-    ``batch_id`` as a partition column.
+    never doubled. Readers see ``batch_id`` as a partition column.
     """
 
     path: str

@@ -37,9 +37,12 @@ class TestViews:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        if name not in self._raw:  # reading the schema from the footers is a job of its own
+            self._raw[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        return self._raw[name]
 
     def _supplier_count(self) -> Column:
         return self.raw("supplier").agg(F.count("*")).scalar()
