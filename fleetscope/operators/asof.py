@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from fleetscope.operators.hot import SEG, hot_bounds, hot_targets, only_hot, segment_of, with_segment
+from fleetscope.operators.hot import SEG, hot_segments, hot_targets, touched_segments, with_segment
 from fleetscope.session import small_table
 
 _AT, _SIDE, _TIE, _HIT = "_at", "_side", "_tie", "_hit"
@@ -33,10 +33,12 @@ def asof_join(
     marks = marks.filter(F.col(_AT).isNotNull())
     rows = probes.unionByName(marks, allowMissingColumns=True)
 
-    hot = hot_bounds(rows.select(on, _AT), on, _AT)
-    rows = with_segment(rows, on, _AT, hot)
-    if hot is not None:
-        rows = rows.unionByName(_opening_hits(only_hot(rows, on, hot), on), allowMissingColumns=True)
+    hot = hot_segments(rows, on, _AT)
+    if hot is None:
+        rows = with_segment(rows, _AT, None)
+    else:
+        opening = _opening_hits(with_segment(rows.select(on, _AT, _HIT), _AT, hot, only_hot=True), on)
+        rows = with_segment(rows, _AT, hot).unionByName(opening, allowMissingColumns=True)
     w = Window.partitionBy(on, SEG).orderBy(_AT, _SIDE, F.col(f"{_HIT}.{_TIE}"))
     found = F.last(_HIT, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
@@ -76,7 +78,7 @@ def interval_join(
     neither side of one join group grows with the whole history of a device.
     """
     spans = left.groupBy(on).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    hot = hot_bounds(left, on, ts)
+    hot = hot_segments(left, on, ts)
     pieces = (
         right.select(on, F.col(start).alias("_start"), F.col(end).alias("_end"), F.struct(*cols).alias("_cols"))
         .join(spans, on)
@@ -90,19 +92,12 @@ def interval_join(
         .filter(F.col("_lo") <= F.col("_hi"))
         .withColumn("_bucket", F.explode(_buckets(F.col("_lo"), F.col("_hi"), bucket)))
     )
-    if hot is None:
-        pieces = pieces.withColumn(SEG, F.lit(0))
-    else:
-        bucket_end = F.col("_bucket") + F.expr(f"INTERVAL 1 {bucket}")
-        lo = F.unix_micros(F.greatest("_lo", "_bucket"))
-        hi = F.unix_micros(F.least("_hi", bucket_end))
-        blocks = F.col("_blocks")
-        pieces = pieces.join(F.broadcast(hot), on, "left").withColumn(
-            SEG, F.explode(F.sequence(segment_of(lo, blocks), segment_of(hi, blocks)))
-        )
+    bucket_end = F.col("_bucket") + F.expr(f"INTERVAL 1 {bucket}")
+    first, last = F.greatest("_lo", "_bucket"), F.least("_hi", bucket_end)
+    pieces = touched_segments(pieces, F.unix_micros(first), F.unix_micros(last), hot)
     pieces = pieces.select(on, "_start", "_end", "_bucket", SEG, "_cols")
 
-    probes = with_segment(left.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))), on, ts, hot)
+    probes = with_segment(left.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))), ts, hot)
     holds = (F.col(f"p.{ts}") >= F.col("i._start")) & F.coalesce(
         F.col(f"p.{ts}") < F.col("i._end"), F.lit(True)
     )
@@ -126,10 +121,9 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner")
     found = hot_targets(left, on)
     if found is None:
         return left.join(right, on, how)
-    hot, target = found
+    hot, _, _ = found
     schema = StructType([StructField(on, left.schema[on].dataType), StructField("_salts", LongType())])
-    rows = [(value, -(-n // target)) for value, n in hot]
-    salts = F.broadcast(small_table(left.sparkSession, rows, schema))  # at most maxSplits rows
+    salts = F.broadcast(small_table(left.sparkSession, hot, schema))  # at most about maxSplits rows
     width = F.coalesce("_salts", F.lit(1))
     spread = left.join(salts, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), width)).drop("_salts")
     copies = (

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from fleetscope.operators.asof import salted_join
-from fleetscope.operators.hot import SEG, hot_bounds, only_hot, with_segment
+from fleetscope.operators.hot import SEG, Segments, hot_segments, with_segment
 from fleetscope.operators.ordered import DETECT, over_history
-from fleetscope.session import small_table
+from fleetscope.session import checkpointed, small_table
 
 
 def _fold_entity(log: DataFrame, key: str, ts: str, order: list[str]) -> DataFrame:
@@ -107,7 +107,7 @@ def accepted_operations(
 
 def _accepted(
     status_log: DataFrame, shipments: DataFrame, order: list[str], opening: DataFrame | None
-) -> tuple[DataFrame, DataFrame | None]:
+) -> tuple[DataFrame, Segments | None]:
     ops = status_log.filter(F.col("action").isin("assigned", "released") & F.col("shipment_id").isNotNull())
     cols = ["lock_id", "shipment_id", *order, OPENS]
     ops = salted_join(
@@ -116,21 +116,25 @@ def _accepted(
         "shipment_id",
         "left_semi",
     ).select(*cols)
-    hot = hot_bounds(ops, "lock_id", order[0])
-    ops = with_segment(ops, "lock_id", order[0], hot).withColumn(_START, F.lit(None).cast("string"))
+    hot = hot_segments(ops, "lock_id", order[0])
+    if hot is not None:
+        ops = checkpointed(ops)  # the search for segment starts reads it several times
+    lanes = with_segment(ops, order[0], hot).withColumn(_START, F.lit(None).cast("string"))
     if opening is not None:
         known = opening.select("lock_id", F.lit(0).alias(SEG), F.col("shipment_id").alias("_known"))
-        ops = ops.join(known, ["lock_id", SEG], "left").withColumn(_START, F.col("_known")).drop("_known")
-    if hot is not None:
-        ops = _with_starts(ops, _segment_starts(only_hot(ops, "lock_id", hot), order, hot, opening))
-    return _follow(ops, order).select(*cols), hot
+        lanes = lanes.join(known, ["lock_id", SEG], "left").withColumn(_START, F.col("_known")).drop("_known")
+    if hot is None:
+        return _follow(lanes, order).select(*cols), None
+    cut = with_segment(ops, order[0], hot, only_hot=True).withColumn(_START, F.lit(None).cast("string"))
+    lanes = _with_starts(lanes, _segment_starts(cut, order, hot, opening))
+    return checkpointed(_follow(lanes, order).select(*cols)), hot
 
 
-def pair_operations(accepted: DataFrame, order: list[str], bounds=DETECT) -> DataFrame:
+def pair_operations(accepted: DataFrame, order: list[str], hot=DETECT) -> DataFrame:
     """Intervals from accepted operations, which alternate open, close, open, ... per lock."""
     ts = order[0]
     paired = over_history(
-        accepted, "lock_id", order, lambda w: {"released_at": F.lead(ts).over(w)}, ahead=1, bounds=bounds
+        accepted, "lock_id", order, lambda w: {"released_at": F.lead(ts).over(w)}, ahead=1, hot=hot
     )
     return paired.filter(OPENS).select("lock_id", "shipment_id", F.col(ts).alias("assigned_at"), "released_at")
 
@@ -170,7 +174,7 @@ def _with_starts(ops: DataFrame, starts: dict) -> DataFrame:
     return joined.withColumn(_START, F.coalesce("_known", _START)).drop("_known")
 
 
-def _segment_starts(ops: DataFrame, order: list[str], hot: DataFrame, opening: DataFrame | None) -> dict:
+def _segment_starts(ops: DataFrame, order: list[str], hot: Segments, opening: DataFrame | None) -> dict:
     """The shipment open at the start of every segment of the hot locks.
 
     All segments run in parallel from a guess (nothing open); the end state of each becomes the
@@ -183,7 +187,7 @@ def _segment_starts(ops: DataFrame, order: list[str], hot: DataFrame, opening: D
     before = {lane: prev for prev, lane in zip(lanes, lanes[1:]) if prev[0] == lane[0]}
     starts = {lane: None for lane in lanes}
     if opening is not None:
-        held = only_hot(opening.select("lock_id", "shipment_id"), "lock_id", hot).collect()
+        held = opening.join(hot.table.select("lock_id").distinct(), "lock_id", "left_semi").collect()
         held = {r["lock_id"]: r["shipment_id"] for r in held}
         starts.update({lane: held.get(lane[0]) for lane in lanes if lane not in before})
     last_ops: dict = {}

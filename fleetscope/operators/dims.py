@@ -9,9 +9,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from fleetscope import model
 from fleetscope.functions.scoring import event_class
 from fleetscope.functions.timecols import date_key, day_of_week0
-from fleetscope.operators.hot import hot_bounds
+from fleetscope.operators.hot import hot_segments
 from fleetscope.operators.ordered import over_history
-from fleetscope.session import small_table
+from fleetscope.session import checkpointed, small_table
 
 
 def dim_date(spark: SparkSession, start: str = model.DIM_DATE_START, end: str = model.DIM_DATE_END) -> DataFrame:
@@ -48,12 +48,15 @@ def scd2(changes: DataFrame, key: str, tracked: list[str], ts: str, tie: str) ->
     """
     state = F.struct(*tracked)
     last_at = changes.groupBy(key, ts).agg(F.max_by(state, F.col(tie)).alias("_state"))
-    hot = hot_bounds(changes, key, ts)
+    hot = hot_segments(changes, key, ts)
     marked = over_history(
-        last_at, key, [ts], lambda w: {"_before": F.lag("_state").over(w)}, back=1, bounds=hot
+        last_at, key, [ts], lambda w: {"_before": F.lag("_state").over(w)}, back=1, hot=hot
     ).filter(F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before")))
+    marked = marked.drop("_before")
+    if hot is not None:
+        marked = checkpointed(marked)  # read several times below
     closed = over_history(
-        marked.drop("_before"), key, [ts], lambda w: {"_next": F.lead(ts).over(w)}, ahead=1, bounds=hot
+        marked, key, [ts], lambda w: {"_next": F.lead(ts).over(w)}, ahead=1, hot=hot
     )
     return closed.select(
         key,

@@ -6,25 +6,46 @@ quantiles of its own timestamps. Windows then run per (device, segment) and what
 (earlier rows, running totals, last known values) is handed over by a few boundary rows per segment.
 
 Everything collected here is bounded by construction: a key is hot when it has more than
-``target = max(minRows, total / maxSplits)`` rows, so there are at most ``maxSplits`` hot keys and at
-most ``2 * maxSplits`` segments, whatever the size of the data.
+``target = max(minRows, total / maxSplits)`` rows, so there are about ``maxSplits`` hot keys at most,
+``2 * maxSplits`` segments and ``4 * maxSplits`` lookup rows, whatever the size of the data. Which
+keys are hot and where they are cut is estimated from a sample; it decides where rows are worked on,
+never what comes out.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import DataType, IntegerType, LongType, StructField, StructType
 
 from fleetscope.session import small_table
 
 MIN_ROWS = "spark.fleetscope.hot.minRows"
 MAX_SPLITS = "spark.fleetscope.hot.maxSplits"
+SAMPLED_PER_SPLIT = 500
 SEG = "_seg"
 
-_BLOCKS, _N, _POS = "_blocks", "_n", "_pos"
+_N, _POS, _BUCKET, _LO, _HI = "_n", "_pos", "_bucket", "_lo", "_hi"
+_MIN, _MAX = -(2**63), 2**63 - 1
+
+
+@dataclass(frozen=True)
+class Segments:
+    """Segments of the hot keys: fixed values, so every branch and retry of a plan cuts alike.
+
+    ``table`` has one row (key, segment, first and last position) per segment, numbered from 1 in
+    order. ``lookup`` lists each segment once per time bucket it touches, to find it by equality.
+    """
+
+    key: str
+    table: DataFrame
+    lookup: DataFrame
+    width: int
+    first_bucket: int
+    last_bucket: int
 
 
 def position(df: DataFrame, col: str) -> Column:
@@ -33,8 +54,8 @@ def position(df: DataFrame, col: str) -> Column:
     return F.unix_micros(col) if kind == "timestamp" else F.col(col).cast("bigint")
 
 
-def hot_targets(df: DataFrame, key: str) -> tuple[list, int] | None:
-    """Hot keys as (key, rows) pairs with the target rows per segment, or None when there are none."""
+def hot_targets(df: DataFrame, key: str) -> tuple[list, int, DataFrame] | None:
+    """Hot keys as (key, segments wanted), rows per segment and the sample used; None without any."""
     conf = df.sparkSession.conf
     floor = int(conf.get(MIN_ROWS, "2000000"))
     splits = int(conf.get(MAX_SPLITS, "4096"))
@@ -42,66 +63,86 @@ def hot_targets(df: DataFrame, key: str) -> tuple[list, int] | None:
     if total <= floor:
         return None
     target = max(floor, total // splits)
-    counts = df.groupBy(key).agg(F.count("*").alias(_N)).filter(F.col(_N) > target)
-    hot = counts.filter(F.col(key).isNotNull()).collect()  # at most total / target <= maxSplits rows
-    return ([(r[0], r[1]) for r in hot], target) if hot else None
-
+    fraction = min(1.0, SAMPLED_PER_SPLIT / target)
+    sample = df if fraction == 1.0 else df.sample(fraction, seed=11)
+    counts = sample.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(_N))
+    hot = counts.filter(F.col(_N) > target * fraction).collect()  # about total / target <= maxSplits rows
+    return ([(r[0], math.ceil(r[1] / fraction / target)) for r in hot], target, sample) if hot else None
 
-def hot_bounds(df: DataFrame, key: str, order: str) -> DataFrame | None:
-    """Segment starts per hot key, or None when no key is hot.
 
-    The bounds are fixed values once computed, so every branch of a plan, and every retry of a lost
-    task, cuts the data at the same places although the quantiles themselves are approximate.
-    """
-    found = hot_targets(df, key)
+def hot_segments(df: DataFrame, key: str, order: str) -> Segments | None:
+    """Segments of the keys that are hot in ``df``, or None when none is."""
+    found = hot_targets(df.select(key, position(df, order).alias(_POS)), key)
     if found is None:
         return None
-    hot, target = found
-    spark = df.sparkSession
-    pieces = math.ceil(max(n for _, n in hot) / target)
-    width = max(1, math.isqrt(pieces))
-    key_field = StructField(key, df.schema[key].dataType)
-    hot_keys = small_table(spark, hot, StructType([key_field, StructField(_N, LongType())]))
-
+    hot, _, sample = found
+    kind = df.schema[key].dataType
+    wanted = small_table(df.sparkSession, hot, StructType([StructField(key, kind), StructField(_N, LongType())]))
+    pieces = max(n for _, n in hot)
     grid = [i / pieces for i in range(pieces)]
-    slim = df.select(key, position(df, order).alias(_POS))
     quantiles = (
-        slim.join(F.broadcast(hot_keys), key)
+        sample.join(F.broadcast(wanted), key)
         .groupBy(key, _N)
-        .agg(F.percentile_approx(_POS, grid, max(10_000, 20 * pieces)).alias("_q"))
+        .agg(F.percentile_approx(_POS, grid, max(10_000, 20 * pieces)).alias("_q"), F.max(_POS).alias("_top"))
     )
-    wanted = F.ceil(F.col(_N) / F.lit(target)).cast("int")
-    picked = F.transform(
-        F.sequence(F.lit(0), wanted - 1),
-        lambda i: F.element_at("_q", F.floor(i * F.lit(pieces) / wanted).cast("int") + 1),
+    nth = lambda i: F.element_at("_q", F.floor(i * F.lit(pieces) / F.col(_N)).cast("int") + 1)
+    starts = F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(1), F.col(_N) - 1), nth)))
+    starts = F.when(F.col(_N) > 1, starts).otherwise(F.array().cast("array<bigint>"))
+    cuts = quantiles.select(key, starts, F.element_at("_q", 1), "_top").collect()
+    return _segments(df, key, kind, [tuple(r) for r in cuts])
+
+
+def _segments(df: DataFrame, key: str, kind: DataType, cuts: list[tuple]) -> Segments:
+    splits = int(df.sparkSession.conf.get(MAX_SPLITS, "4096"))
+    low, high = min(c[2] for c in cuts), max(c[3] for c in cuts)
+    width = (high - low) // max(1, 2 * splits // len(cuts)) + 1
+    bucket = lambda pos: min(max(pos, low), high) // width * width
+    table, lookup = [], []
+    for value, starts, *_ in cuts:
+        edges = [_MIN, *starts, _MAX]
+        for seg, (lo, hi) in enumerate(zip(edges, edges[1:]), 1):
+            table.append((value, seg, lo, hi - 1))
+            lookup += [(value, b, seg, lo, hi - 1) for b in range(bucket(lo), bucket(hi - 1) + 1, width)]
+    named = lambda *names: StructType(
+        [StructField(key, kind), *[StructField(n, IntegerType() if n == SEG else LongType()) for n in names]]
     )
-    starts = F.array_sort(F.array_distinct(picked))
-    # two levels of about sqrt(n) entries each keep the lookup per row short
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size("_s") / F.lit(width)).cast("int") - 1),
-        lambda i: F.slice("_s", i * F.lit(width) + 1, F.lit(width)),
+    spark = df.sparkSession
+    return Segments(
+        key,
+        F.broadcast(small_table(spark, table, named(SEG, _LO, _HI))),
+        F.broadcast(small_table(spark, lookup, named(_BUCKET, SEG, _LO, _HI))),
+        width,
+        bucket(low),
+        bucket(high),
     )
-    rows = quantiles.select(key, starts.alias("_s")).select(key, blocks.alias(_BLOCKS)).collect()
-    schema = StructType([key_field, StructField(_BLOCKS, ArrayType(ArrayType(LongType())))])
-    return small_table(spark, rows, schema)
-
-
-def segment_of(pos: Column, blocks: Column) -> Column:
-    """Number of the segment a position falls into, counted from 0; 0 where the key is not hot."""
-    firsts = F.transform(blocks, lambda b: F.element_at(b, 1))
-    block = F.greatest(F.size(F.filter(firsts, lambda start: start <= pos)), F.lit(1))
-    width = F.size(F.element_at(blocks, 1))
-    within = F.size(F.filter(F.element_at(blocks, block), lambda start: start <= pos))
-    return F.when(blocks.isNull(), F.lit(0)).otherwise((block - 1) * width + within).cast("int")
 
 
-def with_segment(df: DataFrame, key: str, order: str, hot: DataFrame | None) -> DataFrame:
-    """Add the segment number; the join side is bounded (module comment), hence the broadcast."""
+def with_segment(df: DataFrame, order: str, hot: Segments | None, only_hot: bool = False) -> DataFrame:
+    """Add the segment number: 0 for keys that are not hot, or no such rows at all with ``only_hot``."""
     if hot is None:
         return df.withColumn(SEG, F.lit(0))
-    segment = segment_of(position(df, order), F.col(_BLOCKS)).alias(SEG)
-    return df.join(F.broadcast(hot), key, "left").select(*df.columns, segment)
+    pos = position(df, order)
+    start = pos - F.pmod(pos, F.lit(hot.width))
+    bucket = F.greatest(F.lit(hot.first_bucket), F.least(F.lit(hot.last_bucket), start))
+    rows = df.withColumns({"_seg_pos": pos, "_seg_bucket": bucket}).alias("r")
+    found = (
+        (F.col(f"r.{hot.key}") == F.col(f"s.{hot.key}"))
+        & (F.col("_seg_bucket") == F.col(f"s.{_BUCKET}"))
+        & F.col("_seg_pos").between(F.col(f"s.{_LO}"), F.col(f"s.{_HI}"))
+    )
+    joined = rows.join(hot.lookup.alias("s"), found, "inner" if only_hot else "left")
+    return joined.select(*[f"r.{c}" for c in df.columns], F.coalesce(f"s.{SEG}", F.lit(0)).alias(SEG))
 
 
-def only_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(hot.select(key)), key, "left_semi")
+def touched_segments(df: DataFrame, lo: Column, hi: Column, hot: Segments | None) -> DataFrame:
+    """Repeat each row for every segment of its key that meets ``[lo, hi]`` (positions)."""
+    if hot is None:
+        return df.withColumn(SEG, F.lit(0))
+    rows = df.withColumns({"_seg_from": lo, "_seg_to": hi}).alias("r")
+    meets = (
+        (F.col(f"r.{hot.key}") == F.col(f"s.{hot.key}"))
+        & (F.col("_seg_from") <= F.col(f"s.{_HI}"))
+        & (F.col("_seg_to") >= F.col(f"s.{_LO}"))
+    )
+    joined = rows.join(hot.table.alias("s"), meets, "left")
+    return joined.select(*[f"r.{c}" for c in df.columns], F.coalesce(f"s.{SEG}", F.lit(0)).alias(SEG))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from fleetscope.operators.hot import SEG, hot_bounds, only_hot, with_segment
+from fleetscope.operators.hot import SEG, Segments, hot_segments, with_segment
 
 _HALO, _ROW = "_halo", "_row"
 DETECT = object()
@@ -29,24 +29,25 @@ def over_history(
     back: int = 0,
     ahead: int = 0,
     totals: dict[str, Column] | None = None,
-    bounds: DataFrame | None | object = DETECT,
+    hot: Segments | None | object = DETECT,
 ) -> DataFrame:
     """Add window columns over each key's ordered history, exact also for keys of any size.
 
     ``build`` gets the window and returns the new columns. ``back`` and ``ahead`` say how many rows
     before and after the current one its frames reach. ``totals`` are per-row numbers available to
     ``build`` by name for unbounded running sums; they are dropped from the result. ``order`` starts
-    with the time column and has to be total, or at least total within equal times. ``bounds`` hands
-    in segment bounds already found for the same keys, so they are not looked for again.
+    with the time column and has to be total, or at least total within equal times. ``hot`` hands
+    in segments already found for the same keys, so they are not looked for again.
     """
     totals = totals or {}
-    hot = hot_bounds(df, key, order[0]) if bounds is DETECT else bounds
+    hot = hot_segments(df, key, order[0]) if hot is DETECT else hot
     rows = df.withColumns(totals) if totals else df
     if hot is None:
         return rows.withColumns(build(history(key, order))).drop(*totals)
 
-    rows = with_segment(rows, key, order[0], hot).withColumn(_HALO, F.lit(False))
-    halo = _halo(only_hot(rows, key, hot), key, order, max(back, 1 if totals else 0), ahead, list(totals))
+    cut = with_segment(rows, order[0], hot, only_hot=True)
+    halo = _halo(cut, key, order, max(back, 1 if totals else 0), ahead, list(totals))
+    rows = with_segment(rows, order[0], hot).withColumn(_HALO, F.lit(False))
     w = Window.partitionBy(key, SEG).orderBy(*order)
     out = rows.unionByName(halo).withColumns(build(w))
     return out.filter(~F.col(_HALO)).drop(SEG, _HALO, *totals)
@@ -69,22 +70,21 @@ def _halo(rows: DataFrame, key: str, order: list[str], back: int, ahead: int, to
     The earliest copy before a segment also carries the sums of all segments before, so running
     totals continue where the previous segment ended.
     """
-    plain = [c for c in rows.columns if c not in (key, SEG, _HALO, *totals)]
+    plain = [c for c in rows.columns if c not in (key, SEG, *totals)]
     row = F.struct(*order, *[c for c in plain if c not in order])
     lane = Window.partitionBy(key).orderBy(SEG)
-    before_all = lane.rowsBetween(Window.unboundedPreceding, -1)
-
-    edges = rows.groupBy(key, SEG).agg(F.count("*").alias("_n"), *[F.sum(t).alias(t) for t in totals])
-    opening = {t: F.coalesce(F.sum(t).over(before_all), F.lit(0)) for t in totals}
     parts = []
     if back:
-        tails = _edge_rows(rows, key, order, back, row, last=True)
-        near = edges.join(tails, [key, SEG]).withColumns(
-            {**opening, "_near": _flat([F.lag(_ROW, i).over(lane) for i in range(back, 0, -1)])}
-        )
-        near = near.withColumn(
-            "_near", F.slice("_near", F.greatest(F.size("_near") - back + 1, F.lit(1)), back)
-        ).select(key, SEG, *totals, F.posexplode("_near").alias("_i", _ROW))
+        near = _edge_rows(rows, key, order, back, row, last=True)
+        if totals:
+            before_all = lane.rowsBetween(Window.unboundedPreceding, -1)
+            sums = rows.groupBy(key, SEG).agg(*[F.sum(t).alias(t) for t in totals])
+            near = near.join(sums, [key, SEG]).withColumns(
+                {t: F.coalesce(F.sum(t).over(before_all), F.lit(0)) for t in totals}
+            )
+        near = near.withColumn("_near", _flat([F.lag(_ROW, i).over(lane) for i in range(back, 0, -1)]))
+        nearest = F.slice("_near", F.greatest(F.size("_near") - back + 1, F.lit(1)), back)
+        near = near.select(key, SEG, *totals, F.posexplode(nearest).alias("_i", _ROW))
         first = F.col("_i") == 0
         parts.append(
             near.select(

@@ -58,3 +58,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="fleetscope-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, for results that several branches read.
+
+    Unlike a cache the copy outlives the executors that made it.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
+    return df.checkpoint()

@@ -46,20 +46,34 @@ def rows(df):
 
 
 def test_no_split_below_floor(spark, skewed):
-    assert hot.hot_bounds(skewed, "lock_id", "event_time") is None
+    assert hot.hot_segments(skewed, "lock_id", "event_time") is None
 
 
 def test_segments_are_ordered_and_balanced(spark, skewed, splitting):
-    bounds = hot.hot_bounds(skewed, "lock_id", "event_time")
-    assert "hot" in {r["lock_id"] for r in bounds.collect()}
-    cut = hot.with_segment(skewed, "lock_id", "event_time", bounds).filter("lock_id = 'hot'")
-    spans = cut.groupBy(hot.SEG).agg(F.min("event_time"), F.max("event_time"), F.count("*")).orderBy(hot.SEG).collect()
+    found = hot.hot_segments(skewed, "lock_id", "event_time")
+    assert "hot" in {r["lock_id"] for r in found.table.collect()}
+    every = hot.with_segment(skewed, "event_time", found)
+    assert every.count() == 600
+    cut = hot.with_segment(skewed, "event_time", found, only_hot=True)
+    assert rows(cut) == rows(every.filter(F.col(hot.SEG) > 0))
+    spans = cut.filter("lock_id = 'hot'").groupBy(hot.SEG)
+    spans = spans.agg(F.min("event_time"), F.max("event_time"), F.count("*")).orderBy(hot.SEG).collect()
     assert len(spans) > 10
     assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
     # one second holds many rows and cannot be cut; the others stay near the target
     assert sorted(r[3] for r in spans)[-2] < 40
 
 
+def test_segments_from_a_sample(spark, skewed, splitting, monkeypatch):
+    monkeypatch.setattr(hot, "SAMPLED_PER_SPLIT", 5)
+    found = hot.hot_segments(skewed, "lock_id", "event_time")
+    every = hot.with_segment(skewed, "event_time", found)
+    assert every.count() == 600 and every.filter(f"lock_id = 'hot' and {hot.SEG} = 0").count() == 0
+    split = rows(sequences.event_windows(skewed))
+    spark.conf.set(hot.MIN_ROWS, "1000000")
+    assert split == rows(sequences.event_windows(skewed))
+
+
 @pytest.mark.parametrize(
     "build",
     [
