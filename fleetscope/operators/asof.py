@@ -1,4 +1,4 @@
-"""As-of and interval joins on a device key."""
+"""As-of joins, interval joins and interval totals on a device key."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from fleetscope.model import OPEN_END
 from fleetscope.operators.hot import SEG, hot_segments, hot_targets, touched_segments, with_segment
+from fleetscope.operators.ordered import over_history, running
 from fleetscope.session import small_table
 
 _AT, _SIDE, _TIE, _HIT = "_at", "_side", "_tie", "_hit"
@@ -106,6 +108,44 @@ def interval_join(
     return joined.select(*[f"p.{c}" for c in left.columns], *[F.col(f"i._cols.{c}").alias(c) for c in cols])
 
 
+def interval_totals(
+    points: DataFrame,
+    intervals: DataFrame,
+    on: str,
+    ts: str,
+    start: str,
+    end: str,
+    measures: list[str],
+    by: list[str],
+) -> DataFrame:
+    """Sums of the points' ``measures`` within each interval ``[start, end)``, grouped ``by`` interval columns.
+
+    The same answer as joining points to the intervals of their key that hold them and aggregating,
+    but no pair is ever formed: the running totals of a key's points are read off at both ends of
+    each interval and subtracted. The cost is linear however many intervals overlap. A null ``end``
+    is an open interval; intervals without points count 0.
+    """
+    open_end = F.lit(OPEN_END).cast("timestamp")
+    ends = F.array(
+        F.struct(F.col(start).alias(_AT), F.lit(-1).alias("_sign")),
+        F.struct(F.coalesce(end, open_end).alias(_AT), F.lit(1).alias("_sign")),
+    )
+    valid = intervals.filter(F.coalesce(F.col(start) < F.col(end), F.lit(True)))
+    # at equal times an interval end is read before the points, so points at `end` stay outside
+    probes = valid.select(on, *[c for c in by if c != on], F.inline(ends), F.lit(0).alias(_SIDE))
+    marks = points.select(on, F.col(ts).alias(_AT), F.lit(1).alias(_SIDE), *measures)
+    moves = probes.unionByName(marks, allowMissingColumns=True)
+    sums = {f"_{m}": F.coalesce(F.col(m), F.lit(0)).cast("bigint") for m in measures}
+    upto = over_history(
+        moves, on, [_AT, _SIDE], lambda w: {f"_upto_{m}": running(f"_{m}", w) for m in measures}, totals=sums
+    )
+    return (
+        upto.filter(F.col(_SIDE) == 0)
+        .groupBy(*by)
+        .agg(*[F.sum(F.col("_sign") * F.col(f"_upto_{m}")).alias(m) for m in measures])
+    )
+
+
 def _buckets(lo: Column, hi: Column, bucket: str) -> Column:
     return F.sequence(F.date_trunc(bucket, lo), F.date_trunc(bucket, hi), F.expr(f"INTERVAL 1 {bucket}"))
 

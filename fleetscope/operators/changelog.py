@@ -187,7 +187,7 @@ def _segment_starts(ops: DataFrame, order: list[str], hot: Segments, opening: Da
     before = {lane: prev for prev, lane in zip(lanes, lanes[1:]) if prev[0] == lane[0]}
     starts = {lane: None for lane in lanes}
     if opening is not None:
-        held = opening.join(hot.table.select("lock_id").distinct(), "lock_id", "left_semi").collect()
+        held = opening.join(hot.keys, "lock_id", "left_semi").collect()
         held = {r["lock_id"]: r["shipment_id"] for r in held}
         starts.update({lane: held.get(lane[0]) for lane in lanes if lane not in before})
     last_ops: dict = {}

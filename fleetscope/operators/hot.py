@@ -41,6 +41,7 @@ class Segments:
     """
 
     key: str
+    keys: DataFrame
     table: DataFrame
     lookup: DataFrame
     width: int
@@ -109,6 +110,7 @@ def _segments(df: DataFrame, key: str, kind: DataType, cuts: list[tuple]) -> Seg
     spark = df.sparkSession
     return Segments(
         key,
+        F.broadcast(small_table(spark, [(c[0],) for c in cuts], named())),
         F.broadcast(small_table(spark, table, named(SEG, _LO, _HI))),
         F.broadcast(small_table(spark, lookup, named(_BUCKET, SEG, _LO, _HI))),
         width,
@@ -121,6 +123,8 @@ def with_segment(df: DataFrame, order: str, hot: Segments | None, only_hot: bool
     """Add the segment number: 0 for keys that are not hot, or no such rows at all with ``only_hot``."""
     if hot is None:
         return df.withColumn(SEG, F.lit(0))
+    if only_hot:
+        df = df.join(hot.keys, hot.key, "left_semi")
     pos = position(df, order)
     start = pos - F.pmod(pos, F.lit(hot.width))
     bucket = F.greatest(F.lit(hot.first_bucket), F.least(F.lit(hot.last_bucket), start))

@@ -9,7 +9,7 @@ from fleetscope import model
 from fleetscope.functions.geo import grid
 from fleetscope.functions.scoring import event_class, flag, is_compromised, severity_flag
 from fleetscope.functions.timecols import date_key, seconds_between, trailing_partitions, ts_lit
-from fleetscope.operators.asof import asof_join, interval_join
+from fleetscope.operators.asof import asof_join, interval_totals
 
 
 def _per_lock(events: DataFrame) -> DataFrame:
@@ -36,14 +36,27 @@ def daily_shipment_summary(
     assignments that held at its time.
     """
     if point_in_time:
-        held = interval_join(
-            events, assignments, "lock_id", "event_time", "assigned_at", "released_at", ["shipment_pk"], "inner"
+        points = events.select("lock_id", "event_time", F.lit(1).alias("n"), severity_flag("critical").alias("critical"))
+        totals = interval_totals(
+            points,
+            assignments,
+            "lock_id",
+            "event_time",
+            "assigned_at",
+            "released_at",
+            ["n", "critical"],
+            ["shipment_pk", "lock_id"],
         )
-        totals = held.groupBy("shipment_pk").agg(
-            F.count("*").alias("total_events"), F.sum(severity_flag("critical")).alias("critical_events")
+        locks = assignments.select("shipment_pk", "lock_id").distinct()
+        per_shipment = (
+            locks.join(totals, ["shipment_pk", "lock_id"], "left")
+            .groupBy("shipment_pk")
+            .agg(
+                F.sum("n").alias("total_events"),
+                F.sum("critical").alias("critical_events"),
+                F.count("*").alias("locks_count"),
+            )
         )
-        locks = assignments.select("shipment_pk", "lock_id").distinct().groupBy("shipment_pk")
-        per_shipment = locks.agg(F.count("*").alias("locks_count")).join(totals, "shipment_pk", "left")
     else:
         pairs = assignments.groupBy("shipment_pk", "lock_id").agg(F.count("*").alias("times"))
         per_shipment = (
@@ -67,13 +80,12 @@ def daily_shipment_summary(
 
 
 def _per_day(spans: DataFrame, start: str, end) -> DataFrame:
-    """Each span once per day it touches, with ``day`` and the seconds of that day it covers."""
+    """Each span once per ``day`` it touches, cut to ``[from, to)`` within that day."""
     days = F.sequence(F.date_trunc("day", start), F.date_trunc("day", "_end"), F.expr("INTERVAL 1 DAY"))
     spans = spans.withColumn("_end", end).filter(F.col(start) < F.col("_end"))
-    spans = spans.withColumn("day", F.explode(days))
+    spans = spans.withColumn("day", F.explode(days)).filter(F.col("day") < F.col("_end"))
     until = F.least(F.col("_end"), F.col("day") + F.expr("INTERVAL 1 DAY"))
-    seconds = seconds_between(until, F.greatest(F.col(start), F.col("day")))
-    return spans.withColumn("seconds", seconds).filter(F.col("day") < F.col("_end")).drop("_end")
+    return spans.withColumns({"from": F.greatest(F.col(start), F.col("day")), "to": until}).drop("_end")
 
 
 def daily_shipment_facts(
@@ -87,49 +99,47 @@ def daily_shipment_facts(
     """The documented summary per date and shipment.
 
     Events, status changes and compromised locks belong to the shipment their lock was assigned to
-    at the time; total_locks are the locks assigned at any time of the day; the minutes in transit
-    come from the shipment's status history. The parts are aggregated on their own and summed up in
-    one more grouping instead of being joined.
+    at the time; total_locks are the locks assigned at any time of the day; open assignments last
+    until ``as_of``. Events and changes are counted per assignment and day from running totals in
+    one pass over each lock's history. The minutes in transit come from the shipment's own history.
     """
     part = ["date_key", "shipment_pk"]
-
-    def held(rows: DataFrame, ts: str) -> DataFrame:
-        found = interval_join(
-            rows, assignments, "lock_id", ts, "assigned_at", "released_at", ["shipment_pk"], "inner"
-        )
-        return found.withColumn("date_key", date_key(ts))
-
-    by_event = held(events, "event_time").groupBy(*part).agg(
-        F.count("*").alias("total_events"),
-        F.sum(severity_flag("critical")).alias("critical_events"),
-        F.sum(flag(event_class() == "WARNING")).alias("warning_events"),
-    )
-    changes = held(status_changes.select("lock_id", "status", "change_time"), "change_time")
-    by_change = (
-        changes.groupBy(*part, "lock_id")
-        .agg(F.count("*").alias("n"), F.max(flag(is_compromised())).alias("compromised"))
-        .groupBy(*part)
-        .agg(F.sum("n").alias("status_changes"), F.sum("compromised").alias("compromised_locks"))
+    counted = ["total_events", "critical_events", "warning_events", "status_changes", "compromised"]
+    one = F.lit(1)
+    points = events.select(
+        "lock_id",
+        F.col("event_time").alias("at"),
+        one.alias("total_events"),
+        severity_flag("critical").alias("critical_events"),
+        flag(event_class() == "WARNING").alias("warning_events"),
+    ).unionByName(
+        status_changes.select(
+            "lock_id",
+            F.col("change_time").alias("at"),
+            one.alias("status_changes"),
+            flag(is_compromised()).alias("compromised"),
+        ),
+        allowMissingColumns=True,
     )
     until = F.coalesce("released_at", ts_lit(as_of))
-    by_lock = (
-        _per_day(assignments.select("shipment_pk", "lock_id", "assigned_at", "released_at"), "assigned_at", until)
-        .select(date_key("day").alias("date_key"), "shipment_pk", "lock_id")
-        .distinct()
-        .groupBy(*part)
-        .agg(F.count("*").alias("total_locks"))
+    days = _per_day(
+        assignments.select("shipment_pk", "lock_id", "assigned_at", "released_at"), "assigned_at", until
+    ).withColumn("date_key", date_key("day"))
+    by_lock = interval_totals(points, days, "lock_id", "at", "from", "to", counted, [*part, "lock_id"])
+    by_day = by_lock.groupBy(*part).agg(
+        *[F.sum(c).alias(c) for c in counted[:4]],
+        F.sum(flag(F.col("compromised") > 0)).alias("compromised_locks"),
+        F.count("*").alias("total_locks"),
     )
     moving = shipment_history.filter(F.col("status") == "in_transit")
     by_transit = (
         _per_day(moving, "effective_from", F.least(F.col("effective_to"), ts_lit(as_of)))
         .groupBy(date_key("day").alias("date_key"), "shipment_id")
-        .agg(F.floor(F.sum("seconds") / 60).alias("time_in_transit_min"))
+        .agg(F.floor(F.sum(seconds_between("to", "from")) / 60).alias("time_in_transit_min"))
         .join(shipments.select("shipment_pk", "shipment_id"), "shipment_id")
         .drop("shipment_id")
     )
-    measures = by_event
-    for more in (by_change, by_lock, by_transit):
-        measures = measures.unionByName(more, allowMissingColumns=True)
+    measures = by_day.unionByName(by_transit, allowMissingColumns=True)
     names = [c for c in measures.columns if c not in part]
     return measures.groupBy(*part).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 

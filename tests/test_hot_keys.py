@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetscope.operators import changelog, hot
-from fleetscope.operators.asof import asof_join, interval_join, salted_join
+from fleetscope.operators.asof import asof_join, interval_join, interval_totals, salted_join
 from fleetscope.operators.ordered import over_history, rolling_count, running
 from fleetscope.plans import sequences
 
@@ -149,6 +149,24 @@ def test_interval_brute_force(spark, skewed, splitting, how):
     assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("split", [True, False])
+def test_interval_totals_equal_join(spark, skewed, splitting, split):
+    if not split:
+        spark.conf.set(hot.MIN_ROWS, "1000000")
+    rnd = random.Random(2)
+    spans = []
+    for i in range(90):
+        start = rnd.randrange(0, 20_000, 50)
+        end = None if i % 9 == 0 else at(start + rnd.choice([-50, 0, 50, 3600, 9_000]))
+        spans.append((i % 7, rnd.choice(["hot", "l1", "l2", "none"]), at(start), end))
+    right = spark.createDataFrame(spans, "s int, lock_id string, a timestamp, b timestamp")
+    points = skewed.withColumn("n", F.lit(1)).withColumn("c", (F.col("severity") == "critical").cast("int"))
+    got = interval_totals(points, right, "lock_id", "event_time", "a", "b", ["n", "c"], ["s"])
+    joined = interval_join(points, right, "lock_id", "event_time", "a", "b", ["s"], "inner")
+    want = joined.groupBy("s").agg(F.sum("n"), F.sum("c"))
+    assert rows(got.filter("n > 0")) == rows(want)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain(spark, skewed, splitting, how):
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("l3", 3), ("l99", 4)], "lock_id string, v int")
