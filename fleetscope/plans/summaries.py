@@ -100,8 +100,9 @@ def daily_shipment_facts(
 
     Events, status changes and compromised locks belong to the shipment their lock was assigned to
     at the time; total_locks are the locks assigned at any time of the day; open assignments last
-    until ``as_of``. Events and changes are counted per assignment and day from running totals in
-    one pass over each lock's history. The minutes in transit come from the shipment's own history.
+    until ``as_of``. Facts are counted per lock and day, or read off running totals, before they
+    meet assignments; no pair of event and assignment is formed. The minutes in transit come from
+    the shipment's own history.
     """
     part = ["date_key", "shipment_pk"]
     counted = ["total_events", "critical_events", "warning_events", "status_changes", "compromised"]
@@ -125,7 +126,13 @@ def daily_shipment_facts(
     days = _per_day(
         assignments.select("shipment_pk", "lock_id", "assigned_at", "released_at"), "assigned_at", until
     ).withColumn("date_key", date_key("day"))
-    by_lock = interval_totals(points, days, "lock_id", "at", "from", "to", counted, [*part, "lock_id"])
+    # whole days take the lock's total of that day; only first and last days need the running totals
+    whole = (F.col("from") == F.col("day")) & (F.col("to") == F.col("day") + F.expr("INTERVAL 1 DAY"))
+    daily = points.groupBy("lock_id", date_key("at").alias("date_key")).agg(*[F.sum(c).alias(c) for c in counted])
+    keys = [*part, "lock_id"]
+    of_whole = days.filter(whole).join(daily, ["lock_id", "date_key"], "left").select(*keys, *counted)
+    of_parts = interval_totals(points, days.filter(~whole), "lock_id", "at", "from", "to", counted, keys)
+    by_lock = of_whole.unionByName(of_parts).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counted])
     by_day = by_lock.groupBy(*part).agg(
         *[F.sum(c).alias(c) for c in counted[:4]],
         F.sum(flag(F.col("compromised") > 0)).alias("compromised_locks"),
