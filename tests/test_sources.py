@@ -125,3 +125,10 @@ def test_event_type_dimension(spark):
     rows = {r["event_type"]: (r["category"], r["event_class"]) for r in dims.dim_event_type(spark).collect()}
     assert rows["battery_low"] == ("maintenance", "WARNING") and rows["tamper_detected"] == ("security", "CRITICAL")
     assert len(rows) == 5
+
+
+def test_new_ids_are_distinct(spark):
+    from fleetscope.functions.ids import new_id
+
+    ids = spark.range(100).select(new_id().alias("id"))
+    assert {len(r["id"]) for r in ids.collect()} == {36} and ids.distinct().count() == 100
