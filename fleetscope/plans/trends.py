@@ -48,10 +48,10 @@ def recent_hourly_trend(events: DataFrame, as_of) -> DataFrame:
 
 
 def daily_severity_30d(events: DataFrame, dim_date: DataFrame, as_of) -> DataFrame:
-    since = F.to_date(ts_lit(as_of)) - F.expr("INTERVAL 30 DAYS")
+    midnight = F.date_trunc("day", ts_lit(as_of))
     day = F.to_date("event_time")
     counts = (
-        events.filter(F.col("event_time") >= since.cast("timestamp"))
+        trailing_partitions(events, "event_time", midnight, "30 DAYS")
         .groupBy(day.alias("full_date"), "severity")
         .agg(F.count("*").alias("event_count"))
     )

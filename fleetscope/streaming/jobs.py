@@ -44,6 +44,19 @@ def start(
     return writer.start()
 
 
+def _kept(each_batch: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Keep the micro-batch while it is worked on, for functions that read it more than once."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            each_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 # ---- facts ---------------------------------------------------------------------------------------
 
 
@@ -76,10 +89,11 @@ def start_fact_stream(
             orphan = F.when(F.col("_known").isNull(), "unknown lock_id")
             judged = judged.withColumn(quality.REASON, F.coalesce(quality.REASON, orphan)).drop("_known")
         verdict = F.when(F.col(quality.REASON).isNull(), VALID).otherwise(REJECTED)
-        facts = judged.withColumns({"date_key": date_key(ts), "verdict": verdict})
-        sink.write(facts.sortWithinPartitions("verdict", "date_key", ts), batch_id, ["verdict", "date_key"])
+        judged = judged.withColumns({"date_key": date_key(ts), "verdict": verdict})
+        place = ["verdict", "date_key"]
+        sink.write(judged.hint("rebalance", *place).sortWithinPartitions(*place, ts), batch_id, place)
 
-    return start(rows, write, checkpoint, trigger)
+    return start(rows, _kept(write) if known_locks is not None else write, checkpoint, trigger)
 
 
 def facts(table: DataFrame) -> DataFrame:
@@ -142,7 +156,7 @@ def start_enriched_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         sink.write(enrich(batch, load_locks()), batch_id)
 
-    return start(stream, write, checkpoint, trigger)
+    return start(stream, _kept(write), checkpoint, trigger)
 
 
 # ---- per-device state ----------------------------------------------------------------------------
@@ -167,21 +181,16 @@ def start_neighbour_stream(
     marker = "_carried"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            before = carried.before(spark, batch_id)
-            rows = batch.withColumn(marker, F.lit(False))
-            if before is not None:
-                needed = before.join(batch.select(carried.key).distinct(), carried.key, "left_semi")
-                rows = rows.unionByName(needed.withColumn(marker, F.lit(True)))
-            found = analyse(rows, order, keep=[marker])
-            sink.write(found.filter(~F.col(marker)).drop(marker), batch_id)
-            carried.advance(batch, before, batch_id)
-        finally:
-            batch.unpersist()
+        before = carried.before(batch.sparkSession, batch_id)
+        rows = batch.withColumn(marker, F.lit(False))
+        if before is not None:
+            needed = before.join(batch.select(carried.key).distinct(), carried.key, "left_semi")
+            rows = rows.unionByName(needed.withColumn(marker, F.lit(True)))
+        found = analyse(rows, order, keep=[marker])
+        sink.write(found.filter(~F.col(marker)).drop(marker), batch_id)
+        carried.advance(batch, before, batch_id)
 
-    return start(stream, write, checkpoint, trigger)
+    return start(stream, _kept(write), checkpoint, trigger)
 
 
 def start_assignment_stream(
@@ -197,13 +206,9 @@ def start_assignment_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            before = carried.before(spark, batch_id)
-            opening = None if before is None else before.filter(changelog.OPENS).select("lock_id", "shipment_id")
-            sink.write(changelog.accepted_operations(batch, load_shipments(), order, opening), batch_id)
-            carried.advance(sink.read(spark, [batch_id]).drop("batch_id"), before, batch_id)
-        finally:
-            batch.unpersist()
+        before = carried.before(spark, batch_id)
+        opening = None if before is None else before.filter(changelog.OPENS).select("lock_id", "shipment_id")
+        sink.write(changelog.accepted_operations(batch, load_shipments(), order, opening), batch_id)
+        carried.advance(sink.read(spark, [batch_id]).drop("batch_id"), before, batch_id)
 
-    return start(stream, write, checkpoint, trigger)
+    return start(stream, _kept(write), checkpoint, trigger)
