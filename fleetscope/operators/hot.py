@@ -124,7 +124,7 @@ def with_segment(df: DataFrame, order: str, hot: Segments | None, only_hot: bool
     if hot is None:
         return df.withColumn(SEG, F.lit(0))
     if only_hot:
-        df = df.join(hot.keys, hot.key, "left_semi")
+        df = df.join(hot.keys, hot.key, "left_semi").select(*df.columns)
     pos = position(df, order)
     start = pos - F.pmod(pos, F.lit(hot.width))
     bucket = F.greatest(F.lit(hot.first_bucket), F.least(F.lit(hot.last_bucket), start))
