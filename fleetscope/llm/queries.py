@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac
+from fleetscope.llm import bpe, dac, mixing, pages, quality
 from fleetscope.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,13 @@ def op2_token_files(spark, sf_dir):
     )
 
 
+@query
+def op4_source_mix(spark, sf_dir):
+    """How many words the mix of all documents by target weights takes from each."""
+    mixed = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op5_byte_bpe(spark, sf_dir):
     """Digests of the ids of all documents, and of the bytes decoded from them."""
@@ -49,9 +56,22 @@ def op5_byte_bpe(spark, sf_dir):
     )
 
 
+@query
+def op9_quality_rules(spark, sf_dir):
+    """Counts, scores and verdicts of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query
+def op10_main_text(spark, sf_dir):
+    """Main text of all pages."""
+    return pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def registered() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op4_source_mix": mixing.COPIES_SQL}
