@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, mixing, pages, quality
+from fleetscope.llm import bpe, dac, mixing, near, pages, quality
 from fleetscope.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,13 @@ def op2_token_files(spark, sf_dir):
     )
 
 
+@query
+def op3_near_duplicates(spark, sf_dir):
+    """Components of all documents linked by similar sets of pairs of words."""
+    rows = near.classes(table(spark, sf_dir, "documents").select("doc_id", "text"), k=2, percent=80)
+    return near.with_least_id(rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op4_source_mix(spark, sf_dir):
     """How many words the mix of all documents by target weights takes from each."""
