@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, mixing, near, pages, quality
+from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, quality
 from fleetscope.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,34 @@ def op5_byte_bpe(spark, sf_dir):
     )
 
 
+@query
+def op6_license_scan(spark, sf_dir):
+    """License phrases and texts in all documents."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["phrase"])
+    good = F.filter("spans", lambda s: s["verified"])
+    starts = F.transform(base, lambda s: s["start"].cast("long"))
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(good).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["coverage"])), F.lit(0.0)).alias("score"),
+    )
+
+
+@query
+def op7_top_k(spark, sf_dir):
+    """The 20 highest inner products of each query vector with all other vectors."""
+    rows = table(spark, sf_dir, "embeddings").where(kdtree.usable("embedding") & F.col("vec_id").isNotNull())
+    whole = rows.select("vec_id", kdtree.whole_numbers("embedding").alias("whole"))
+    return kdtree.top_k(whole, F.pmod(F.col("vec_id"), F.lit(20)) == 0, 20)
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """Counts, scores and verdicts of all documents."""
