@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, quality
+from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, quality, substrings
 from fleetscope.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_repeated_passages(spark, sf_dir):
+    """Passages of 50 words or more of all documents that an earlier document has too."""
+    found = substrings.passages(table(spark, sf_dir, "documents"))
+    return found.drop("text_hash", "match_hash")
+
+
 @query
 def op2_token_files(spark, sf_dir):
     """Ids of all documents, written to and read back from files of directly addressable codes."""
