@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, quality, substrings
+from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, pitman_yor, quality, substrings
 from fleetscope.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,12 @@ def op7_top_k(spark, sf_dir):
     return kdtree.top_k(whole, F.pmod(F.col("vec_id"), F.lit(20)) == 0, 20)
 
 
+@query
+def op8_language_model(spark, sf_dir):
+    """Scores of all documents by a model learnt from those that are not held out."""
+    return pitman_yor.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """Counts, scores and verdicts of all documents."""

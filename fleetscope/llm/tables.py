@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from fleetscope.session import shared_dir
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
