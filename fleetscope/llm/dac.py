@@ -15,24 +15,28 @@ an empty table gives an empty folder with the same columns. Other columns are no
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope.llm import words
+from fleetscope.llm.bpe import byte_characters
 
 CHUNK_BITS = 8
 RANK_BLOCK = 512  # bits of the bitmap for each entry of the directory
 SEGMENT_TOKENS = 1 << 20
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 MAGIC = b"DAC1"
 
 SEGMENT_SCHEMA = (
@@ -122,12 +126,18 @@ class Code:
 # ---- encoding texts ------------------------------------------------------------------------------
 
 
+#: Words of printable ASCII and precomposed Latin letters: they are their own normal form, and every
+#: library agrees on what in them is a letter.
+_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u024f]+")
+
+
 class WordEncoder:
     """Ids of whole texts by a vocabulary whose normaliser and splitter treat white space as a cut.
 
-    Then a text's ids are those of its words, and each word goes through the tokenizers library once
-    while it is remembered. Only white space of ASCII cuts here; what else the vocabulary splits at is
-    left to the library. A-Z count as a-z, as the vocabulary's normaliser has it.
+    Then a text's ids are those of its words, and each word is encoded once while it is remembered. Only
+    white space of ASCII cuts here; A-Z count as a-z, as the vocabulary's normaliser has it. The library
+    normalises and splits each new word, but plain ones, which are lower-cased and split here by the
+    vocabulary's own pattern, so that only its merges remain to be done for pieces not seen before.
     """
 
     def __init__(self, vocabulary: str):
@@ -136,20 +146,52 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.memo: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.shown = dict(enumerate(byte_characters()))
+        parts = json.loads(vocabulary)
+        kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        known = kinds == ["NFC", "Replace", "Lowercase"] and split
+        self.split = regex.compile(f"{split}| ").findall if known else None
+
+    def _learn_plain(self, new: list[bytes], plain: list[str]) -> None:
+        found = self.split(" ".join(plain).lower())
+        for piece in set(found).difference(self.pieces, " "):
+            shown = piece.encode().decode("latin-1").translate(self.shown)
+            ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
+            self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        own: list[bytes] = []
+        coded: list[bytes] = []
+        for piece in [*found, " "]:
+            if piece == " ":
+                coded.append(b"".join(own))
+                own = []
+            else:
+                own.append(self.pieces[piece])
+        self.words.update(zip(new, coded, strict=True))
+
+    def _learn(self, new: list[bytes]) -> None:
+        texts = [w.decode() for w in new]
+        plain = [self.split is not None and _PLAIN.fullmatch(t) is not None for t in texts]
+        if any(plain):
+            self._learn_plain([w for w, p in zip(new, plain) if p], [t for t, p in zip(texts, plain) if p])
+        others = [t for t, p in zip(texts, plain) if not p]
+        coded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        for text, code in zip(others, coded):
+            self.words[text.encode()] = np.array(code.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
-        if len(self.memo) > MEMO_ENTRIES:
-            for key in list(self.memo)[MEMO_ENTRIES // 2 :]:  # frequent words come early and stay
-                del self.memo[key]
+        for memo in (self.words, self.pieces):
+            if len(memo) > MEMO_ENTRIES:
+                for key in list(memo)[MEMO_ENTRIES // 2 :]:  # frequent words come early and stay
+                    del memo[key]
         split = [(t or b"").lower().split() for t in texts]
-        new = list(set().union(*split).difference(self.memo))
+        new = list(set().union(*split).difference(self.words))
         for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            self.memo.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(some, coded))
+            self._learn(new[at : at + 10_000])
         last = struct.pack("<I", end)
-        return [np.frombuffer(b"".join([*map(self.memo.__getitem__, ws), last]), "<u4") for ws in split]
+        return [np.frombuffer(b"".join([*map(self.words.__getitem__, ws), last]), "<u4") for ws in split]
 
 
 # ---- files ---------------------------------------------------------------------------------------
@@ -218,7 +260,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(words.BATCH_BYTES))
     docs = segments.mapInArrow(run, "shard int, doc_id long, at long, ids array<int>")
-    return docs.join(starts, "shard").select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "ids")
+    # one row of two numbers for each task that wrote
+    return docs.join(F.broadcast(starts), "shard").select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "ids")
 
 
 @F.pandas_udf(T.LongType())

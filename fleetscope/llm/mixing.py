@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetscope.llm.tables import stored
+from fleetscope.llm.tables import set_aside, stored
 from fleetscope.llm.textcols import n_words
 
 WEIGHTS = (1, 2, 3)  # of the sources in order, repeating
@@ -103,23 +103,26 @@ def thresholds(sized: DataFrame) -> DataFrame:
     return joined.withColumn("threshold", F.coalesce("threshold", F.lit(0).cast("long")))
 
 
+_NEW = ["size", "source_size", "target", "copies", "taken"]
+
+
 def copies(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with size, source_size, target, copies (how often the document is taken) and taken."""
-    new = ["size", "source_size", "target", "copies", "taken"]
-    sized = docs.drop(*new).withColumns({"size": n_words(F.col(text)), _HASH: hash_of(text=text)})
+    sized = docs.drop(*_NEW).withColumns({"size": n_words(F.col(text)), _HASH: hash_of(text=text)})
     plan = thresholds(stored(sized.select("source", "size", _HASH), "mix-sizes"))
-    plan = stored(plan, "mix-plan").withColumnRenamed("source", "__source")
+    plan = stored(plan, "mix-plan")
+    plan = plan.withColumnsRenamed({c: f"__{c}" for c in ("source", "whole", "threshold")})
     mixed = sized.join(plan, F.col("source").eqNullSafe(F.col("__source")))
-    mixed = mixed.withColumn("copies", F.col("whole") + (F.col(_HASH) < F.col("threshold")).cast("long"))
+    mixed = mixed.withColumn("copies", F.col("__whole") + (F.col(_HASH) < F.col("__threshold")).cast("long"))
     mixed = mixed.withColumn("taken", F.col("copies") * F.col("size"))
-    return mixed.drop("__source", "whole", "threshold", _HASH)
+    return mixed.drop("__source", "__whole", "__threshold", _HASH)
 
 
 def mix(docs: DataFrame, text: str = "text") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``."""
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    rows = copies(docs, text).where("copies > 0")
-    return rows.withColumn("__copy", times).select(*docs.columns)
+    plain, back = set_aside(docs, _NEW)
+    return back(copies(plain, text).where("copies > 0").withColumn("__copy", times))
 
 
 #: The same mix for DuckDB: documents in order of hash, taken as long as the budget lasts.

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fleetscope.session import shared_dir
 
@@ -13,3 +16,10 @@ def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFram
     path = shared_dir(spark, purpose)
     df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns of these names out of the way, and what brings a result back to the columns of ``df``."""
+    moved = {c: f"__own_{c}" for c in df.columns if c in names}
+    back = lambda out: out.select(*(F.col(moved.get(c, c)).alias(c) for c in df.columns))
+    return df.withColumnsRenamed(moved), back
