@@ -7,9 +7,9 @@ hash all elements into one bin each, so every coordinate of a set that isn't emp
 coordinates estimate the similarity as closely as independent ones would.
 
 Documents that agree in a whole band of coordinates share a bucket. Links are confirmed on the full sets.
-Within a bucket pairs are not listed: members are compared with a few members as centres, components are
-merged, and only buckets that still hold several components go on with four times as many centres, until
-all members have been centres. So every pair that shares a bucket is either compared or already
+Within a bucket pairs are not listed: members are compared with one member as centre, components are
+merged, and only buckets that still hold several components go on with four, then sixteen, and so on,
+until all members have been centres. So every pair that shares a bucket is either compared or already
 connected, and large groups cost about one comparison for each member.
 
 Exact copies are one node, told apart from other texts by 64 bits of hash. Components are found by
@@ -168,24 +168,29 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     tested = links = spark.createDataFrame([], "a long, b long")
     named = spark.createDataFrame([], "key long, component long")
-    centres_before, centres_upto = 0, 4
+    # the least key of each bucket is its first centre, and after that come ever larger shares of the
+    # members in an order that all buckets have in common, so that those of one group share centres
+    before, upto = 0, 0
     while True:
         labelled = members.join(named, "key", "left").withColumn("component", F.coalesce("component", "key"))
         sizes = labelled.groupBy("band").agg(
-            F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+            F.count("*").alias("members"),
+            F.min("key").alias("first"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
         )
-        still_open = sizes.where((F.col("low") < F.col("high")) & (F.col("members") > centres_before))
-        labelled = stored(labelled.join(still_open.select("band", "members"), "band"), "open-buckets")
+        still_open = sizes.where((F.col("low") < F.col("high")) & (F.col("members") > before))
+        labelled = stored(labelled.join(still_open.select("band", "members", "first"), "band"), "open-buckets")
         if labelled.isEmpty():
             break
-        place = F.pmod(F.xxhash64("key", "band"), F.col("members"))
-        centres = labelled.where((place >= centres_before) & (place < centres_upto))
-        pairs = _pairs(labelled.drop("members"), centres, percent)
+        place = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) * F.col("members") / (1 << 30)
+        chosen = (place >= before) & (place < upto) if upto else F.col("key") == F.col("first")
+        pairs = _pairs(labelled.drop("members", "first"), labelled.where(chosen), percent)
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(links.union(_verified(pairs, sets, percent)), "links")
         tested = stored(tested.union(pairs), "tested")
         named = components(links)
-        centres_before, centres_upto = centres_upto, centres_upto * 4
+        before, upto = upto, max(4, upto * 4)
     component = F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("component")
     return rows.join(named, "key", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), component)
 
