@@ -160,7 +160,7 @@ class Best:
 
 def _small(points: np.ndarray) -> np.ndarray:
     """The same numbers in the narrowest type that has them."""
-    return points.astype(np.min_scalar_type(-max(abs(int(points.min())), abs(int(points.max())), 1))) if points.size else points
+    return points.astype(np.min_scalar_type(-max(abs(int(points.min())), abs(int(points.max()))) - 1)) if points.size else points
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:

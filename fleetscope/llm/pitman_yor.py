@@ -126,9 +126,10 @@ class State:
     """What all parts share after a sweep; each entry is bounded."""
 
     tables: np.ndarray  # by context
-    parent_tables: float
+    parent_tables: float  # as the sweep before left them, for drawing
     frequent_customers: np.ndarray  # of the frequent words at the parent
     frequent_tables: np.ndarray
+    drawn_tables: float = 0.0  # of the parent in this sweep; known after it, and what probabilities go by
 
 
 @dataclass
@@ -140,9 +141,9 @@ class Model:
     frequent_counts: np.ndarray = field(default_factory=lambda: np.zeros(0))
     states: list[State] = field(default_factory=list)
 
-    def parent(self, state: State, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    def parent(self, state: State, customers: np.ndarray, tables: np.ndarray, all_tables: float) -> np.ndarray:
         """Probability of words at the parent."""
-        opens = (PARENT_STRENGTH + PARENT_DISCOUNT * state.parent_tables) / (self.vocabulary + 1)
+        opens = (PARENT_STRENGTH + PARENT_DISCOUNT * all_tables) / (self.vocabulary + 1)
         return (customers - PARENT_DISCOUNT * tables + opens) / (PARENT_STRENGTH + state.tables.sum())
 
 
@@ -165,7 +166,8 @@ class Part:
         return np.bincount(self.word_of, tables, len(self.words)).astype(np.int64)
 
     def run(self):
-        """After each sweep so far: tables of each pair, and the word probabilities the sweep went by.
+        """For each sweep so far: tables of each pair, and customers and tables of each word at the parent;
+        then the tables of each pair after the last.
 
         The first state has one table for each pair. Draws follow the part and the sweep, so that a task
         that runs again comes to the same.
@@ -173,7 +175,7 @@ class Part:
         model = self.model
         seats, parent_seats = Seating(DISCOUNT), Seating(PARENT_DISCOUNT)
         tables = np.minimum(self.count, 1)
-        customers, own_tables = self.customers_of(tables), None
+        customers = self.customers_of(tables)
         for sweep, state in enumerate(model.states):
             rng = np.random.Generator(np.random.Philox(key=[self.number, sweep]))
             weight = (PARENT_STRENGTH + PARENT_DISCOUNT * state.parent_tables) / (model.vocabulary + 1)
@@ -181,16 +183,18 @@ class Part:
             all_customers[self.frequent] = state.frequent_customers[self.at]
             own_tables = parent_seats.draw(all_customers, np.full(len(customers), weight), rng)
             own_tables[self.frequent] = state.frequent_tables[self.at]
-            parent = model.parent(state, all_customers, own_tables)
-            yield tables, own_tables, parent
+            yield tables, all_customers, own_tables
+            parent = model.parent(state, all_customers, own_tables, state.parent_tables)
             opens = (STRENGTH + DISCOUNT * state.tables[self.context]) * parent[self.word_of]
             tables = seats.draw(self.count, opens, rng)
             customers = self.customers_of(tables)
-        yield tables, own_tables, None
+        yield tables, None, None
 
     def sums(self) -> pd.DataFrame:
         """What this part adds to the next state, as rows (kind, key, x, y)."""
-        *_, (tables, own_tables, _) = self.run()
+        own_tables = None
+        for tables, _, drawn in self.run():
+            own_tables = own_tables if drawn is None else drawn
         own = ~self.frequent
         by_context = [np.bincount(self.context, v, CONTEXTS) for v in (tables, self.count)]
         used = np.flatnonzero(by_context[1])
@@ -205,11 +209,10 @@ class Part:
         """Of each pair: log10 of the averaged probability, log10 by the smoothed count, and whether the
         word is known."""
         model, total = self.model, np.zeros(len(self.count))
-        for sweep, (tables, _, parent) in enumerate(self.run()):
-            if parent is None:
-                break
-            if sweep >= BURN_IN:
+        for sweep, (tables, customers, own_tables) in enumerate(self.run()):
+            if sweep >= BURN_IN and sweep < len(model.states):
                 state = model.states[sweep]
+                parent = model.parent(state, customers, own_tables, state.drawn_tables)
                 own = self.count - DISCOUNT * tables
                 own += (STRENGTH + DISCOUNT * state.tables[self.context]) * parent[self.word_of]
                 total += own / (STRENGTH + model.context_customers[self.context])
@@ -340,6 +343,8 @@ def _next_state(parts: DataFrame, model: Model) -> tuple[State, np.ndarray, np.n
     rng = np.random.Generator(np.random.Philox(key=[1 << 40, len(model.states)]))
     own_tables = Seating(PARENT_DISCOUNT).draw(customers, np.full(len(customers), weight), rng)
     others = kinds[3]["x"].sum() if model.states else kinds[2]["x"].sum()
+    if model.states:
+        model.states[-1].drawn_tables = float(others + model.states[-1].frequent_tables.sum())
     state = State(by_context[0], float(others + own_tables.sum()), customers, own_tables)
     return state, by_context[1], by_word[1], known
 
@@ -369,8 +374,10 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
     merged = loads.groupBy("part").applyInPandas(_merge, "part int, pairs binary, entries binary, docs binary")
     parts = stored(merged, "language-model", compression="zstd")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a part
-    for _ in range(BURN_IN + SAMPLES):
+    for sweep in range(BURN_IN + SAMPLES + 1):
         state, customers, counts, known = _next_state(parts, model)
+        if sweep == BURN_IN + SAMPLES:
+            break  # only the sums of the last sweep were wanted
         if not model.states:
             model.context_customers, model.frequent_counts = customers, counts
             model.tokens, model.vocabulary = int(customers.sum()), known
