@@ -3,9 +3,9 @@
 A page is cut into lines at block-level tags. Markup, scripts, styles, and the contents of containers
 that are menus, forms, notices, adverts, footers or comments by tag, role or class become lines of length
 0; so do lines that are mostly links outside the article. Sums of text length over a sliding window of
-lines rise where the main text begins and fall to zero where it ends; what lies between a surge and the
-next dive is kept. Where the page marks an article or main element, only its lines can surge, and any
-text is enough for it; elsewhere a window needs ``SURGE`` characters.
+lines rise from zero where a text begins and fall to zero where it ends; what lies between such a surge
+and the next dive is kept if a window in it is full enough. Where the page marks an article or main
+element, only its lines count, and any text is enough; elsewhere a window needs ``SURGE`` characters.
 
 Cases: null or empty html, or a page without main text, gives an empty text; unclosed tags end where
 their parent does, an unclosed container is not removed, an unclosed comment, script or style runs to the
@@ -117,7 +117,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], bool]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             lines.append(text)
-            counts.append(0 if roots and not inside_line or not roots and 2 * linked > len(text) else len(text))
+            counts.append(0 if roots and not inside_line or not roots and 10 * linked > 9 * len(text) else len(text))
         elif not counts or counts[-1]:
             lines.append("")
             counts.append(0)
@@ -138,8 +138,6 @@ def lines_of(page: str) -> tuple[list[str], list[int], bool]:
                 skip = tag in DROPPED or tag in HEADS and i >= root_until or _marked(tag, attributes)
                 if skip and not own_root:
                     close()
-                    lines.append("")
-                    counts.append(0)
                     i = end + 1
                     continue
             if tag in ROOTS and not _marked(tag, attributes):
@@ -168,14 +166,17 @@ def main_text(page: str | None) -> str:
     sums = np.convolve(length, np.ones(WINDOW, dtype=np.int64))[WINDOW - 1 :]  # of a line and the next ones
     least = 1 if marked else SURGE
     kept: list[str] = []
-    inside = False
+    stretch: list[str] = []  # lines since the sums last rose from zero
+    peak = 0
     for line, own, ahead in zip(lines, counts, sums):
-        if not inside and own and ahead >= least:
-            inside = True  # surge
-        elif inside and not ahead:
-            inside = False  # dive
-        if inside and own:
-            kept.append(line)
+        if ahead:
+            peak = max(peak, int(ahead))
+            if own:
+                stretch.append(line)
+            continue
+        kept += stretch if peak >= least else []  # a dive
+        stretch, peak = [], 0
+    kept += stretch if peak >= least else []
     return "\n\n".join(kept)
 
 

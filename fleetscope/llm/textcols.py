@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,15 +16,16 @@ def trimmed(text: Column) -> Column:
     return F.trim(F.coalesce(text, F.lit("")), F.lit(SPACES))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it, and however a filter or
+    a projection above it is merged with it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def word_array(text: Column) -> Column:
-    inner = trimmed(text)
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
+    none = F.array().cast("array<string>")
+    return let(trimmed(text), lambda inner: F.when(inner == "", none).otherwise(F.split(inner, r"[\x20\x09-\x0D]+")))
 
 
 def n_words(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
-
-
-def let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
