@@ -21,7 +21,6 @@ from fleetscope.streaming import replay
 Query = Callable[[TestViews], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-BUSY_DAY = "2024-01-28 00:00:00"  # start of the last days with events, for the label query
 DEPOT = (-33.5, -59.5)
 
 
@@ -406,8 +405,7 @@ def shipment_health_dashboard(v):
 
 @query
 def shipment_health_labels(v):
-    recent = v.fact_security_events().filter(F.col("event_time") >= F.lit(BUSY_DAY).cast("timestamp"))
-    return health.shipment_health_dashboard(_health(v, recent, fanout=False))
+    return health.shipment_health_dashboard(_health(v, fanout=False))
 
 
 @query
@@ -695,6 +693,11 @@ def stream_fact_events(v):
     return replay.fact_events(v)
 
 
+@query
+def stream_fact_accounting(v):
+    return replay.fact_accounting(v)
+
+
 @query
 def stream_fact_status(v):
     return replay.fact_status_changes(v)

@@ -128,7 +128,9 @@ def with_segment(df: DataFrame, order: str, hot: Segments | None, only_hot: bool
     pos = position(df, order)
     start = pos - F.pmod(pos, F.lit(hot.width))
     bucket = F.greatest(F.lit(hot.first_bucket), F.least(F.lit(hot.last_bucket), start))
-    rows = df.withColumns({"_seg_pos": pos, "_seg_bucket": bucket}).alias("r")
+    # rows without a position sort before all others, so they belong to the first segment
+    bucket = F.when(pos.isNull(), F.lit(hot.first_bucket)).otherwise(bucket)
+    rows = df.withColumns({"_seg_pos": F.coalesce(pos, F.lit(_MIN)), "_seg_bucket": bucket}).alias("r")
     found = (
         (F.col(f"r.{hot.key}") == F.col(f"s.{hot.key}"))
         & (F.col("_seg_bucket") == F.col(f"s.{_BUCKET}"))

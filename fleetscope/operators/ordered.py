@@ -134,8 +134,8 @@ def dense_ranks(df: DataFrame, value: str) -> DataFrame:
     """Add descending ``rank`` and ``dense_rank`` of ``value`` over the whole table.
 
     The global window sees only the distinct values with their frequencies. Their number d is small:
-    for counts that add up to N rows, d distinct counts sum to at least d(d+1)/2, so d < sqrt(2N);
-    that also bounds the broadcast.
+    for counts that add up to N rows, d distinct counts sum to at least d(d+1)/2, so d < sqrt(2N).
+    Whether the ranks are broadcast is left to their size.
     """
     w = Window.orderBy(F.desc(value))
     ranks = (
@@ -147,4 +147,4 @@ def dense_ranks(df: DataFrame, value: str) -> DataFrame:
             F.row_number().over(w).cast("bigint").alias("dense_rank"),
         )
     )
-    return df.join(F.broadcast(ranks), value)
+    return df.join(ranks, value)

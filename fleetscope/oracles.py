@@ -357,13 +357,6 @@ def _health(fan: bool, events: str, label: bool) -> str:
           group by s.shipment_id, s.status)"""
 
 
-_RECENT_POINTS = """
-    (select lock_id, count(*) as n, count(*) filter (severity = 'critical') as critical,
-       count(*) filter (severity = 'high') as high,
-       sum(case severity when 'critical' then 25 when 'high' then 10 when 'medium' then 3 else 1 end) as points,
-       max(event_time) as last_event
-     from security_events where event_time >= timestamp '2024-01-28 00:00:00' group by lock_id)"""
-
 ORACLES = {
     "table_counts": _counts(columns=True),
     "table_listing": _counts(columns=False),
@@ -564,7 +557,7 @@ ORACLES = {
     "shipment_health": _health(True, "per_lock_events", False),
     "shipment_health_dedup": _health(False, "per_lock_events", False),
     "shipment_health_dashboard": _health(True, "per_lock_events", True),
-    "shipment_health_labels": _health(False, _RECENT_POINTS, True),
+    "shipment_health_labels": _health(False, "per_lock_events", True),
     "shipment_event_detail": """
         select e.id as event_id, e.lock_id, e.event_type, t.category, e.severity, e.event_time, e.latitude, e.longitude
         from placed e join event_types t on t.event_type = e.event_type
@@ -753,6 +746,10 @@ ORACLES = {
     "stream_fact_events": f"""
         select id as event_id, lock_id, event_type, severity, event_time, {_day_key("event_time")} as date_key
         from security_events""",
+    "stream_fact_accounting": """
+        select 'valid' as verdict, count(*) as row_count from security_events
+        union all
+        select 'repeated', count(*) from security_events where id::bigint % 20 = 0 having count(*) > 0""",
     "stream_fact_status": f"""
         select lock_id, action, status, cast(null as varchar) as previous_status, cast(null as double) as latitude,
           cast(null as double) as longitude, shipment_id, change_time, {_day_key("change_time")} as date_key

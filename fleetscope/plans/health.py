@@ -17,6 +17,7 @@ from fleetscope.functions.scoring import (
 )
 from fleetscope.functions.timecols import trailing_partitions, ts_lit
 from fleetscope.operators.dims import current
+from fleetscope.session import checkpointed
 
 
 def shipment_health(
@@ -200,11 +201,13 @@ def shipment_event_detail(
     newest = (
         events.join(ties, "lock_id")
         .join(F.broadcast(event_types.select("event_type", "category")), "event_type")
+        .orderBy(F.desc("event_time"), F.asc("event_id"))
+        .limit(n)  # each has a copy at least, so no other event can be among the first n
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least("_rows", F.lit(n)).cast("int"))))
         .orderBy(F.desc("event_time"), F.asc("event_id"))
         .limit(n)
-        .persist()  # n rows, used twice below
     )
+    newest = checkpointed(newest)  # n rows, used twice below
     probes = F.broadcast(newest.select("event_id", "lock_id", "event_time").distinct()).alias("e")
     at_or_before = (F.col("l.lock_id") == F.col("e.lock_id")) & (F.col("l.update_time") <= F.col("e.event_time"))
     latest = (

@@ -89,6 +89,13 @@ class BatchTable:
             return reader.parquet(self.path)
         return reader.parquet(*[f"{self.path}/batch_id={b}" for b in batches])
 
+    def earlier(self, spark: SparkSession, batch_id: int, schema: str) -> DataFrame | None:
+        """What the batches before this one have written, also when this one is run again."""
+        if batch_id == 0:
+            return None
+        reader = spark.read.option("basePath", self.path).schema(schema)
+        return reader.parquet(self.path).filter(F.col("batch_id") < batch_id)
+
     def latest(self, spark: SparkSession, keys: list[str]) -> DataFrame:
         """For update-mode results: the row of the last batch that touched each key."""
         df = self.read(spark)

@@ -22,13 +22,14 @@ class KafkaTopic:
     topic: str
     encoding: str = "avro"
     max_offsets: int | None = None
+    fail_on_data_loss: bool = True
 
     def options(self, streaming: bool) -> dict[str, str]:
         out = {
             "kafka.bootstrap.servers": self.servers,
             "subscribe": self.topic,
             "startingOffsets": "earliest",
-            "failOnDataLoss": "false",
+            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
         }
         if streaming and self.max_offsets:
             out["maxOffsetsPerTrigger"] = str(self.max_offsets)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,20 +15,14 @@ from fleetscope.operators import changelog, quality
 from fleetscope.operators.asof import salted_join
 from fleetscope.sources.sinks import BatchTable, CarriedRows
 
-# ---- fixed values: trigger interval and watermark delay per record --------------------------------
+# ---- fixed values: trigger interval per record ----------------------------------------------------
 TRIGGERS = {
     "security_event": "30 seconds",
     "lock_status_change": "15 seconds",
     "location_update": "60 seconds",
     "shipment_status_change": "15 seconds",
 }
-DELAYS = {
-    "security_event": "10 minutes",
-    "lock_status_change": "5 minutes",
-    "location_update": "5 minutes",
-    "shipment_status_change": "5 minutes",
-}
-VALID, REJECTED = "valid", "rejected"
+VALID, REJECTED, REPEATED = "valid", "rejected", "repeated"
 
 
 def start(
@@ -66,19 +60,16 @@ def start_fact_stream(
     sink: BatchTable,
     checkpoint: str,
     trigger: str | None = None,
-    delay: str | None = None,
     known_locks: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Decoded rows of one topic into its fact table.
+    """Decoded rows of one topic into its fact table; every row gets there, however late it is.
 
-    The watermark is on event time. Repeated event ids within it are dropped before they reach the
-    sink. Rows that break a rule, or name a lock ``known_locks`` does not have, land in the same
-    table under verdict ``rejected`` with a reason, so each batch is written in one job.
+    Rows that break a rule, or name a lock ``known_locks`` does not have, land in the same table under
+    verdict ``rejected`` with a reason. A valid event whose id the table has already, or that stands
+    twice in its batch, lands there under verdict ``repeated``. So rows in are facts, rejected and
+    repeated rows together, and each batch is written in one job.
     """
     ts = model.EVENT_TIME[record]
-    rows = stream.withWatermark(ts, delay or DELAYS[record])
-    if record == "security_event":
-        rows = rows.dropDuplicatesWithinWatermark(["event_id"])
     rules = quality.record_rules(record)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -90,10 +81,40 @@ def start_fact_stream(
             judged = judged.withColumn(quality.REASON, F.coalesce(quality.REASON, orphan)).drop("_known")
         verdict = F.when(F.col(quality.REASON).isNull(), VALID).otherwise(REJECTED)
         judged = judged.withColumns({"date_key": date_key(ts), "verdict": verdict})
+        if record == "security_event":
+            judged = _mark_repeats(judged, "event_id", ts, sink.earlier(batch.sparkSession, batch_id, _STORED))
         place = ["verdict", "date_key"]
         sink.write(judged.hint("rebalance", *place).sortWithinPartitions(*place, ts), batch_id, place)
 
-    return start(rows, _kept(write) if known_locks is not None else write, checkpoint, trigger)
+    kept = known_locks is not None or record == "security_event"
+    return start(stream, _kept(write) if kept else write, checkpoint, trigger)
+
+
+_STORED = "event_id string, batch_id int, verdict string, date_key int"
+
+
+def _mark_repeats(rows: DataFrame, key: str, ts: str, stored: DataFrame | None) -> DataFrame:
+    """Give valid rows whose key came before, in the batch or in ``stored``, the verdict ``repeated``.
+
+    A delivery repeats the event's time, so only the days that the batch touches are looked up. Rows
+    that are not valid may lack a key; each is then alone in its window.
+    """
+    valid = F.col("verdict") == VALID
+    alone = F.when(~valid, F.monotonically_increasing_id())
+    nth = F.row_number().over(Window.partitionBy(F.when(valid, F.col(key)), alone).orderBy(ts))
+    rows = rows.withColumn("_again", valid & (nth > 1))
+    if stored is not None:
+        days = rows.filter(valid).select("date_key").distinct()
+        known = stored.filter(F.col("verdict") == VALID).join(days, "date_key", "left_semi")
+        known = known.select(F.col(key).alias("_key")).distinct()
+        rows = rows.join(known, valid & (F.col(key) == F.col("_key")), "left")
+        rows = rows.withColumn("_again", F.col("_again") | F.col("_key").isNotNull()).drop("_key")
+    return rows.withColumn("verdict", F.when(F.col("_again"), REPEATED).otherwise(F.col("verdict"))).drop("_again")
+
+
+def accounting(table: DataFrame) -> DataFrame:
+    """Rows by verdict; together they are the rows that came in."""
+    return table.groupBy("verdict").agg(F.count("*").alias("row_count"))
 
 
 def facts(table: DataFrame) -> DataFrame:

@@ -59,6 +59,21 @@ def fact_events(v: TestViews) -> DataFrame:
     return _facts(v, "security_event", rows)
 
 
+def fact_accounting(v: TestViews) -> DataFrame:
+    """Rows by verdict when every twentieth event is delivered twice, in any order, over four batches."""
+    events = v.security_events().withColumnRenamed("id", "event_id")
+    twice = events.filter(F.pmod(F.col("event_id").cast("bigint"), F.lit(20)) == 0)
+    delivered = shared_dir(v.spark, "delivered")
+    events.union(twice).repartition(4, F.xxhash64("event_time", F.monotonically_increasing_id())).write.parquet(delivered)
+    stream = v.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(delivered)
+    sink = _run(
+        v,
+        "accounting",
+        lambda sink, state, checkpoint: jobs.start_fact_stream(stream, "security_event", sink, checkpoint),
+    )
+    return jobs.accounting(sink.read(v.spark))
+
+
 def fact_status_changes(v: TestViews) -> DataFrame:
     suppliers = F.lit(v.raw("supplier").count())  # streaming plans take no scalar subquery
     rows = v.as_status_changes(_stream(v, "events"), suppliers)

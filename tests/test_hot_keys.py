@@ -204,3 +204,23 @@ def test_assignments_brute_force(spark, splitting, seed, shipments):
         ops = [(t, i, a, s) for k, a, s, t, i in log if k == lock and s and s != f"S{shipments}"]
         want += [(lock, *o) for o in _machine(ops)]
     assert rows(got) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        sequences.event_windows,
+        sequences.running_totals,
+        sequences.time_between_events,
+        sequences.event_sequences,
+        sequences.attack_pattern,
+        sequences.sliding,
+    ],
+)
+def test_null_times_come_out_the_same_when_split(spark, skewed, splitting, build):
+    unknown = F.when(F.col("id").cast("int") % 50 != 7, F.col("event_time"))
+    events = skewed.withColumn("event_time", unknown)
+    assert events.filter("event_time is null and lock_id = 'hot'").count() > 2
+    split = rows(build(events))
+    spark.conf.set(hot.MIN_ROWS, "1000000")
+    assert split == rows(build(events))

@@ -179,3 +179,27 @@ def test_sliding_windows(spark, tmp_path):
     finish(jobs.start_upserts(jobs.sliding_critical(feed.stream()), sink, str(tmp_path / "c")))
     got = sink.latest(spark, ["window_start", "window_end"])
     assert got.agg(F.sum("critical_events"), F.max("critical_events"), F.count("*")).first() == (20, 2, 11)
+
+
+def test_no_event_is_lost_however_late(spark, tmp_path):
+    """Rows in are facts, rejected and repeated rows; events 1 to 15 minutes late are facts like others."""
+    rnd = random.Random(9)
+    feed, sent, at = Feed(spark, tmp_path, "security_event"), 0, 0
+    ids, known = [], {}
+    for batch in range(5):
+        out = []
+        for _ in range(30):
+            at += 60
+            ids.append(len(ids))
+            late = rnd.randrange(60, 901) if rnd.random() < 0.2 else 0
+            known[ids[-1]] = event(ids[-1], at - late)
+            out.append(known[ids[-1]])
+        out += [known[i] for i in rnd.sample(ids, 4)]  # delivered again, now or batches later
+        out += [event(10_000 + batch, at, kind="unheard_of"), {**event("x", at), "event_id": None}, {**event("x", at), "event_id": None}]
+        sent += len(out)
+        feed.add(out)
+    sink = BatchTable(str(tmp_path / "facts"))
+    finish(jobs.start_fact_stream(feed.stream(), "security_event", sink, str(tmp_path / "c")))
+    counts = {r["verdict"]: r["row_count"] for r in jobs.accounting(sink.read(spark)).collect()}
+    assert counts[jobs.VALID] == len(ids) and counts[jobs.REJECTED] == 15 and sum(counts.values()) == sent
+    assert sorted(int(r["event_id"]) for r in jobs.facts(sink.read(spark)).collect()) == ids
