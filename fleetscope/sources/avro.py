@@ -1,87 +1,36 @@
-"""Avro datum decode and encode inside Spark jobs.
-
-With the spark-avro package on the classpath this is ``from_avro``/``to_avro``. Without it, the four
-flat records are decoded by a small Arrow-batched function on the executors.
-"""
+"""Avro datum decode and encode inside Spark jobs, by the spark-avro package."""
 
 from __future__ import annotations
 
 import json
-import struct
 
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope import model
 
+PACKAGE = "org.apache.spark:spark-avro_2.13"
+
+
+def _with_package(make) -> Column:
+    try:
+        return make()
+    except (AnalysisException, TypeError) as e:
+        raise RuntimeError(f"Avro topics need the package {PACKAGE} on the classpath") from e
+
 
 def decode_avro(df: DataFrame, value: str, out: str, record: str) -> DataFrame:
     """Add the decoded record as struct column ``out``; a datum that cannot be read becomes null."""
     from pyspark.sql.avro.functions import from_avro
 
     text = json.dumps(model.avro_schema_for(record))
-    try:
-        return df.withColumn(out, from_avro(F.col(value), text, {"mode": "PERMISSIVE"}))
-    except (AnalysisException, TypeError):  # the package is not there
-        return df.withColumn(out, _datum_reader(record)(value))
+    return df.withColumn(out, _with_package(lambda: from_avro(F.col(value), text, {"mode": "PERMISSIVE"})))
 
 
 def avro_encoder(record: str):
-    """Encoder of a record struct for a topic sink; needs spark-avro."""
+    """Encoder of a record struct for a topic sink."""
     from pyspark.sql.avro.functions import to_avro
 
     text = json.dumps(model.avro_schema_for(record))
-    return lambda row: to_avro(row, text)
-
-
-def _datum_reader(record: str):
-    """A vectorized function from Avro binary datums to the record's struct."""
-    schema = model.schema_for(record)
-    symbols = model.ENUM_FIELDS[record]
-    fields = [(f.name, f.nullable, f.dataType.simpleString(), symbols.get(f.name)) for f in schema]
-
-    def zigzag(data: bytes, at: int) -> tuple[int, int]:
-        shift = value = 0
-        while True:
-            byte = data[at]
-            at += 1
-            value |= (byte & 0x7F) << shift
-            if byte < 0x80:
-                return (value >> 1) ^ -(value & 1), at
-            shift += 7
-
-    def read(data: bytes) -> dict:
-        row, at = {}, 0
-        for name, nullable, kind, enum in fields:
-            if nullable:
-                branch, at = zigzag(data, at)
-                if branch == 0:
-                    row[name] = None
-                    continue
-            if kind == "double":
-                row[name] = struct.unpack_from("<d", data, at)[0]
-                at += 8
-                continue
-            number, at = zigzag(data, at)
-            if enum:
-                row[name] = enum[number]
-            elif kind == "bigint":
-                row[name] = number
-            else:
-                row[name] = data[at : at + number].decode()
-                at += number
-        return row
-
-    def safe(data) -> dict:
-        try:
-            return read(bytes(data))
-        except (IndexError, TypeError, ValueError, struct.error):
-            return dict.fromkeys(schema.names)
-
-    def read_all(values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([safe(v) for v in values], columns=schema.names)
-
-    nullable = type(schema)([type(f)(f.name, f.dataType, True) for f in schema])
-    return F.pandas_udf(read_all, nullable)
+    return lambda row: _with_package(lambda: to_avro(row, text))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetscope import model
 from fleetscope.operators import dims
-from fleetscope.sources import sinks, tables, topics
+from fleetscope.sources import avro, sinks, tables, topics
 
 
 def test_schema_lookup():
@@ -36,7 +36,25 @@ def _text(s):
     return _long(len(s.encode())) + s.encode()
 
 
+def has_avro(spark):
+    try:
+        avro.avro_encoder("lock_status_change")(F.struct(F.lit("a").alias("lock_id")))
+    except RuntimeError:
+        return False
+    return True
+
+
+def test_without_the_avro_package_its_name_is_told(spark):
+    if has_avro(spark):
+        pytest.skip("spark-avro is there")
+    raw = spark.createDataFrame([(bytearray(b""),)], "value binary")
+    with pytest.raises(RuntimeError, match=avro.PACKAGE):
+        topics.decode(raw, "lock_status_change")
+
+
 def test_avro_datums(spark):
+    if not has_avro(spark):
+        pytest.skip("spark-avro is not there")
     at = 1_704_067_200_123
     full = (
         _text("läck-1") + _long(1) + _long(1) + _long(2) + _long(0) + _long(1) + struct.pack("<d", -34.5)
