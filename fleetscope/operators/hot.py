@@ -95,7 +95,10 @@ def hot_segments(df: DataFrame, key: str, order: str) -> Segments | None:
 
 def _segments(df: DataFrame, key: str, kind: DataType, cuts: list[tuple]) -> Segments:
     splits = int(df.sparkSession.conf.get(MAX_SPLITS, "4096"))
-    low, high = min(c[2] for c in cuts), max(c[3] for c in cuts)
+    # buckets reach from the first row to the last cut: what lies beyond, as open ends do, is in the last
+    # segment anyway and must not stretch the buckets before
+    low = min(c[2] for c in cuts)
+    high = max((s for c in cuts for s in c[1] if s < c[3]), default=low)
     width = (high - low) // max(1, 2 * splits // len(cuts)) + 1
     bucket = lambda pos: min(max(pos, low), high) // width * width
     table, lookup = [], []

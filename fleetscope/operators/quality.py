@@ -49,11 +49,15 @@ def validate(df: DataFrame, rules: list[tuple[str, Column]]) -> tuple[DataFrame,
 
 
 def enforce_fk(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Child rows whose key exists in the parent, and the orphans with a reason."""
-    keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    kept = salted_join(child, keys, key, "left_semi")
-    orphans = salted_join(child, keys, key, "left_anti")
-    return kept, orphans.withColumn(REASON, F.lit(f"unknown {key}"))
+    """Child rows whose key exists in the parent, and the orphans with a reason.
+
+    The rows are marked by one join, so busy keys are looked for once, whichever result is read.
+    """
+    keys = parent.select(F.col(parent_key or key).alias(key)).distinct().withColumn("_known", F.lit(True))
+    marked = salted_join(child, keys, key, "left")
+    known = F.col("_known").isNotNull()
+    orphans = marked.filter(~known).select(*child.columns, F.lit(f"unknown {key}").alias(REASON))
+    return marked.filter(known).select(*child.columns), orphans
 
 
 def insert_ignore(new: DataFrame, existing: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:

@@ -224,3 +224,13 @@ def test_null_times_come_out_the_same_when_split(spark, skewed, splitting, build
     split = rows(build(events))
     spark.conf.set(hot.MIN_ROWS, "1000000")
     assert split == rows(build(events))
+
+
+def test_open_ends_do_not_stretch_the_buckets(spark, skewed, splitting):
+    forever = F.lit("9999-12-31 00:00:00").cast("timestamp")
+    ends = skewed.withColumn("event_time", F.when(F.col("id").cast("int") % 3 == 0, forever).otherwise(F.col("event_time")))
+    found = hot.hot_segments(ends, "lock_id", "event_time")
+    per_bucket = found.lookup.groupBy("lock_id", hot._BUCKET).count()
+    assert per_bucket.agg(F.max("count")).first()[0] <= 4
+    every = hot.with_segment(ends, "event_time", found)
+    assert every.count() == 600 and every.filter(f"lock_id = 'hot' and {hot.SEG} = 0").count() == 0
