@@ -39,7 +39,7 @@ from fleetscope.llm import words
 from fleetscope.llm.tables import stored
 
 CONTEXTS = 1 << 15
-PART_TOKENS = 3_000_000
+PART_TOKENS = 2_000_000
 FREQUENT = 1 << 16
 SAMPLE_DOCS = 2_000  # to find words for the list above
 EXACT = 64
@@ -274,34 +274,38 @@ def _packed(batch: pa.RecordBatch, first_doc: int, n_parts: int, frequent: np.nd
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All loads of a part as one row: the pairs with training counts, and the documents of each pair."""
-    token, context, size, doc, count, train, infos = [], [], [], [], [], [], []
+    """All loads of a part as one row: the pairs with training counts, and the documents of each pair.
+
+    What is long, the documents' counts, stays in the order of the loads; only the pairs are sorted. Of
+    the pairs of a load the distances are kept, as these compress.
+    """
+    token, context, size, doc, count, train, known, infos = [], [], [], [], [], [], [], []
+    docs_before = 0
     for load in pdf["load"]:
         first_doc, held, own, n_contexts, contexts, n_docs, docs, counts, info = pickle.loads(load)
         token.append(np.repeat(own, n_contexts))
         context.append(contexts)
         size.append(n_docs)
-        doc.append(docs.astype(np.int64) + first_doc)
+        doc.append(docs.astype(np.uint32) + np.uint32(docs_before))
         count.append(counts)
-        train.append(~held[docs])
+        train.append(np.add.reduceat(counts * ~held[docs], np.concatenate(([0], np.cumsum(n_docs[:-1], dtype=np.int64)))))
+        known.append(np.arange(len(held)) + first_doc)
+        docs_before += len(held)
         if info:
             infos.append((first_doc, *info))
-    token, context, size, doc, count, train = map(np.concatenate, (token, context, size, doc, count, train))
+    entries = [pickle.dumps((np.concatenate(size), np.concatenate(doc), np.concatenate(count), np.concatenate(known)))]
+    del size, doc, count, known
+    token, context, train = map(np.concatenate, (token, context, train))
     order = np.lexsort((context, token))
     begins = _runs(token[order], context[order])
-    pair = np.empty(len(order), dtype=np.int64)
-    pair[order] = np.repeat(np.arange(len(begins)), _sizes(begins, len(order)))
-    pair = np.repeat(pair, size)
-    trained = np.bincount(pair, count * train, len(begins)).astype(np.uint32)
+    pair = np.empty(len(order), dtype=np.int32)
+    pair[order] = np.repeat(np.arange(len(begins), dtype=np.int32), _sizes(begins, len(order)))
+    trained = np.bincount(pair, train, len(begins)).astype(np.uint32)
     token, context = token[order][begins], context[order][begins]
-    by_pair = np.argsort(pair, kind="stable")
-    doc, count = doc[by_pair], count[by_pair]
-    known, at = np.unique(doc, return_inverse=True)
     firsts = _runs(token)
     pairs = (token[firsts], _sizes(firsts, len(token)), context, trained)
-    entries = (np.bincount(pair, minlength=len(begins)).astype(np.uint32), at.astype(np.uint32), count.astype(np.uint32), known)
-    loads = [pickle.dumps(x) for x in (pairs, entries, infos)]
-    return pd.DataFrame([[pdf["part"].iloc[0], *loads]], columns=["part", "pairs", "entries", "docs"])
+    loads = [pickle.dumps(pairs), entries[0], pickle.dumps(np.diff(pair, prepend=np.int32(0))), pickle.dumps(infos)]
+    return pd.DataFrame([[pdf["part"].iloc[0], *loads]], columns=["part", "pairs", "entries", "places", "docs"])
 
 
 def _frequent_words(docs: DataFrame, n_docs: int, n_parts: int) -> np.ndarray:
@@ -371,7 +375,7 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
                 )
 
     loads = rows.mapInArrow(pack, "part int, load binary")
-    merged = loads.groupBy("part").applyInPandas(_merge, "part int, pairs binary, entries binary, docs binary")
+    merged = loads.groupBy("part").applyInPandas(_merge, "part int, pairs binary, entries binary, places binary, docs binary")
     parts = stored(merged, "language-model", compression="zstd")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a part
     for sweep in range(BURN_IN + SAMPLES + 1):
@@ -394,7 +398,7 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
                     yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (zero, zero, none, none))], names)
                 log_p, base, known = Part(shared.value, row["part"], row["pairs"]).log_probabilities()
                 n_docs, at, count, docs = pickle.loads(row["entries"])
-                pair = np.repeat(np.arange(len(n_docs)), n_docs)
+                pair = np.repeat(np.cumsum(pickle.loads(row["places"]), dtype=np.int32), n_docs)
                 total = lambda v: np.bincount(at, v, len(docs))  # noqa: E731, B023
                 sums = [total(count), total(count * known[pair]), total(count * base[pair]), total(count * log_p[pair])]
                 columns = [pa.array(docs), pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.bool_())]
