@@ -377,7 +377,6 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
     loads = rows.mapInArrow(pack, "part int, load binary")
     merged = loads.groupBy("part").applyInPandas(_merge, "part int, pairs binary, entries binary, places binary, docs binary")
     parts = stored(merged, "language-model", compression="zstd")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a part
     for sweep in range(BURN_IN + SAMPLES + 1):
         state, customers, counts, known = _next_state(parts, model)
         if sweep == BURN_IN + SAMPLES:
