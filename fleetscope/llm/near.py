@@ -9,8 +9,10 @@ coordinates estimate the similarity as closely as independent ones would.
 Documents that agree in a whole band of coordinates share a bucket. Links are confirmed on the full sets.
 Within a bucket pairs are not listed: members are compared with one member as centre, components are
 merged, and only buckets that still hold several components go on with four, then sixteen, and so on,
-until all members have been centres. So every pair that shares a bucket is either compared or already
-connected, and large groups cost about one comparison for each member.
+until all members have been centres. From the second centre on a pair is compared only if the sketches
+agree well enough, by one bit of each coordinate; so documents that have no more than a passage in common
+may share buckets without being compared in all pairs. Every pair that shares a bucket is thus compared,
+connected already, or unlike by its sketches, and large groups cost about one comparison for each member.
 
 Exact copies are one node, told apart from other texts by 64 bits of hash. Components are found by
 passing the least label along links and jumping along labels; links and labels stay in tables of the
@@ -33,6 +35,8 @@ from fleetscope.llm.tables import stored
 
 ROWS, BANDS = 6, 42  # a link of similarity 0.8 shares no band once in 340,000 times
 COORDINATES = ROWS * BANDS
+UNLIKE = 54  # bits in which sketches may differ; a link of 0.8 differs in 25, in more than 54 once in 10**7 times
+_SIGNS = [f"s{i}" for i in range(-(-COORDINATES // 64))]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
 
@@ -76,8 +80,14 @@ def bands(table: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def signs(table: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate: the same where coordinates agree, and by chance where they don't."""
+    bits = np.packbits((table & _U(1)).astype(bool), axis=1)
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64)
+
+
 def _sketched(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, key, n_shingles and bands; of equal texts in a batch only the first has bands."""
+    """doc_id, key, n_shingles, bands and signs; of equal texts in a batch only the first has the last two."""
     words.use_batches(docs.sparkSession)
 
     def run(batches):
@@ -91,14 +101,16 @@ def _sketched(docs: DataFrame, k: int) -> DataFrame:
                 full = np.flatnonzero(first & (n > 0))
                 member = np.repeat(first, n)
                 own = np.concatenate((np.zeros(1, np.int64), np.cumsum(n[full])))
-                found = bands(sketches(flat[member], own))
+                table = sketches(flat[member], own)
+                found, bits = bands(table), signs(table)
                 at = np.zeros(len(keys) + 1, dtype=np.int64)
                 at[1:][full] = BANDS
                 columns = [batch.column("doc_id"), batch.column("key"), pa.array(n)]
                 columns.append(words.list_of(found.ravel(), np.cumsum(at), pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "bands"])
+                columns.append(words.list_of(bits.ravel(), np.cumsum(at // BANDS * bits.shape[1]), pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "bands", "signs"])
 
-    return docs.mapInArrow(run, "doc_id long, key long, n long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, key long, n long, bands array<long>, signs array<long>")
 
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:
@@ -144,10 +156,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b), a below b, of members and centres of one bucket in different components whose
-    sizes allow a link."""
-    centres = centres.select("band", F.col("key").alias("k2"), F.col("n").alias("n2"), F.col("component").alias("c2"))
-    met = members.join(centres, "band").where(F.col("component") != F.col("c2"))
-    met = met.where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+    sizes, and signs where they are there, allow a link."""
+    renamed = {"key": "k2", "n": "n2", "component": "c2"} | {s: f"{s}_2" for s in _SIGNS}
+    centres = centres.withColumnsRenamed(renamed)
+    fits = (F.col("component") != F.col("c2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+    if _SIGNS[0] in members.columns:
+        apart = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_2"))) for s in _SIGNS), F.lit(0))
+        fits &= apart <= UNLIKE
+    met = members.join(centres, "band").where(fits)
     return met.select(F.least("key", "k2").alias("a"), F.greatest("key", "k2").alias("b")).distinct()
 
 
@@ -185,11 +201,20 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             break
         place = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) * F.col("members") / (1 << 30)
         chosen = (place >= before) & (place < upto) if upto else F.col("key") == F.col("first")
-        pairs = _pairs(labelled.drop("members", "first"), labelled.where(chosen), percent)
+        centres = labelled.where(chosen).drop("members", "first")
+        pairs = _pairs(labelled.drop("members", "first"), centres, percent)
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.union(_verified(pairs, sets, percent)), "links")
-        tested = stored(tested.union(pairs), "tested")
-        named = components(links)
+        tested = tested.union(pairs)
+        found = stored(_verified(pairs, sets, percent), "links")
+        if not found.isEmpty():
+            links = links.union(found)
+            named = components(links)
+        # a bucket that is closed stays closed; what is still open goes on with the signs of its members
+        members = labelled.drop("members", "first", "component")
+        if not upto:
+            bits = [F.col("signs")[i].alias(s) for i, s in enumerate(_SIGNS)]
+            known = rows.where(F.size("signs") > 0).select("key", *bits).dropDuplicates(["key"])
+            members = members.join(known, "key")
         before, upto = upto, max(4, upto * 4)
     component = F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("component")
     return rows.join(named, "key", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), component)
