@@ -35,7 +35,7 @@ from fleetscope.llm.tables import stored
 
 ROWS, BANDS = 6, 42  # a link of similarity 0.8 shares no band once in 340,000 times
 COORDINATES = ROWS * BANDS
-UNLIKE = 54  # bits in which sketches may differ; a link of 0.8 differs in 25, in more than 54 once in 10**7 times
+UNLIKE = 54  # bits in which sketches may differ; a link of 0.8 differs in 25, in more than 54 once in 4 * 10**7 times
 _SIGNS = [f"s{i}" for i in range(-(-COORDINATES // 64))]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
