@@ -20,15 +20,14 @@ import os
 import re
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetscope.llm import words
 from fleetscope.llm.bpe import byte_characters
@@ -238,8 +237,8 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int = 1) -> None:
     ordered.select("doc_id", "text").mapInArrow(run, SEGMENT_SCHEMA).write.parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of the files below ``path``: doc_id, start (ids of all documents before it), ids.
+def _read(spark: SparkSession, path: str, schema: str, columns_of: Callable) -> DataFrame:
+    """doc_id, start, and the columns that ``columns_of`` makes of a segment's ids and where its documents begin.
 
     Shards are ranges in order, so a running total of one number per shard gives their starts.
     """
@@ -247,27 +246,41 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     shards = segments.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = shards.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shard_start"))
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = Code(row["code"]).all().astype(np.int32)
+                ids = Code(row["code"]).all()
                 begins = np.array([*row["doc_starts"], len(ids)], dtype=np.int64)
                 at = begins[:-1] + row["shard_tokens_before"]
                 columns = [pa.array([row["shard"]] * len(at), pa.int32()), pa.array(row["doc_ids"], pa.int64())]
-                columns += [pa.array(at), words.list_of(ids, begins, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "at", "ids"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(at), *columns_of(ids, begins)], ["shard", "doc_id", "at", *names])
 
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(words.BATCH_BYTES))
-    docs = segments.mapInArrow(run, "shard int, doc_id long, at long, ids array<int>")
+    docs = segments.mapInArrow(run, f"shard int, doc_id long, at long, {schema}")
     # one row of two numbers for each task that wrote
-    return docs.join(F.broadcast(starts), "shard").select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "ids")
+    placed = docs.join(F.broadcast(starts), "shard")
+    return placed.select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), *names)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of the files below ``path``: doc_id, start (ids of all documents before it), ids."""
+    return _read(
+        spark, path, "ids array<int>", lambda ids, begins: [words.list_of(ids.astype(np.int32), begins, pa.int32())]
+    )
+
+
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of the files: doc_id, start, n_tokens and ids_crc32, the unsigned crc32 of the document's ids
+    as little-endian unsigned 32-bit integers."""
 
+    def columns_of(ids, begins):
+        raw = memoryview(ids.astype("<u4").tobytes())
+        sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
+        return [pa.array(np.diff(begins)), pa.array(sums, pa.int64())]
 
-@F.pandas_udf(T.LongType())
-def crc32_of(ids: pd.Series) -> pd.Series:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
-    return ids.map(lambda row: zlib.crc32(np.ascontiguousarray(row, dtype="<u4").tobytes()))
+    return _read(spark, path, "n_tokens long, ids_crc32 long", columns_of)
 
 
 def lookup(spark: SparkSession, path: str, doc_id: int, places: list[int]) -> list[int]:

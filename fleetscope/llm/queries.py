@@ -37,9 +37,7 @@ def op2_token_files(spark, sf_dir):
     path = shared_dir(spark, "token-files")
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
         dac.write(table(spark, sf_dir, "documents"), f.read(), path)
-    return dac.read(spark, path).select(
-        "doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), dac.crc32_of("ids").alias("ids_crc32")
-    )
+    return dac.checksums(spark, path)
 
 
 @query
