@@ -43,6 +43,7 @@ PART_TOKENS = 2_000_000
 FREQUENT = 1 << 16
 SAMPLE_DOCS = 2_000  # to find words for the list above
 EXACT = 64
+ENTRIES = 1 << 18  # counts of documents that are added up at a time
 BURN_IN, SAMPLES = 2, 2
 # discounts and strengths of the context restaurants and of their parent
 DISCOUNT, STRENGTH = 0.75, 1.0
@@ -153,8 +154,8 @@ class Part:
     def __init__(self, model: Model, number: int, pairs: bytes):
         self.model, self.number = model, number
         self.words, n_contexts, self.context, self.count = pickle.loads(pairs)
-        self.word_of = np.repeat(np.arange(len(self.words)), n_contexts)
-        self.context, self.count = self.context.astype(np.int64), self.count.astype(np.int64)
+        self.word_of = np.repeat(np.arange(len(self.words), dtype=np.int32), n_contexts)
+        self.count = self.count.astype(np.int64)
         self.word_counts = np.bincount(self.word_of, self.count, len(self.words)).astype(np.int64)
         at = np.searchsorted(model.frequent, self.words)
         at[at == len(model.frequent)] = 0
@@ -390,16 +391,22 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
     def judge(batches):
         names = ["doc", "doc_id", "held", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
-            for row in batch.to_pylist():
-                for first_doc, ids, held in pickle.loads(row["docs"]):
+            for n in range(batch.num_rows):
+                load = lambda name: pickle.loads(batch.column(name)[n].as_buffer())  # noqa: E731, B023
+                for first_doc, ids, held in load("docs"):
                     zero, none = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids))
                     columns = [pa.array(np.arange(len(ids)) + first_doc), pa.array(ids, pa.int64()), pa.array(held)]
                     yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (zero, zero, none, none))], names)
-                log_p, base, known = Part(shared.value, row["part"], row["pairs"]).log_probabilities()
-                n_docs, at, count, docs = pickle.loads(row["entries"])
-                pair = np.repeat(np.cumsum(pickle.loads(row["places"]), dtype=np.int32), n_docs)
-                total = lambda v: np.bincount(at, v, len(docs))  # noqa: E731, B023
-                sums = [total(count), total(count * known[pair]), total(count * base[pair]), total(count * log_p[pair])]
+                number, pairs = batch.column("part")[n].as_py(), batch.column("pairs")[n].as_buffer()
+                log_p, base, known = Part(shared.value, number, pairs).log_probabilities()
+                n_docs, at, count, docs = load("entries")
+                pair = np.repeat(np.cumsum(load("places"), dtype=np.int32), n_docs)
+                sums = np.zeros((4, len(docs)))
+                for i in range(0, len(pair), ENTRIES):
+                    some, times, own = pair[i : i + ENTRIES], count[i : i + ENTRIES], at[i : i + ENTRIES]
+                    for total, value in zip(sums, (None, known, base, log_p)):
+                        total += np.bincount(own, times if value is None else times * value[some], len(docs))
+                del n_docs, at, count, pair
                 columns = [pa.array(docs), pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.bool_())]
                 columns += [pa.array(s.astype(np.int64)) for s in sums[:2]] + [pa.array(s) for s in sums[2:]]
                 yield pa.RecordBatch.from_arrays(columns, names)
