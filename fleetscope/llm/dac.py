@@ -35,7 +35,7 @@ from fleetscope.llm.bpe import byte_characters
 CHUNK_BITS = 8
 RANK_BLOCK = 512  # bits of the bitmap for each entry of the directory
 SEGMENT_TOKENS = 1 << 20
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 600_000
 MAGIC = b"DAC1"
 
 SEGMENT_SCHEMA = (
