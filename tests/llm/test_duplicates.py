@@ -170,3 +170,50 @@ def test_a_passage_in_very_many_documents_is_paired_with_the_first(spark):
     found = substrings.passages(frame(spark, rows).repartition(7))
     ids = [r["doc_id"] for r in found.collect()]
     assert sorted(set(ids)) == list(range(1, 300)) and len(ids) < 2 * 300
+
+
+def test_a_short_part_in_an_earlier_document_hides_no_passage(spark):
+    rows = []
+    for i in range(30):  # the first has too little of the passage, the next two have all of it
+        passage = prose(5000 + i, 60, 100_000).split()
+        parts = [passage[8:52], passage, passage]
+        around = [[prose(9000 + 10 * i + j + 5 * side, 70, 100_000) for side in (0, 1)] for j in range(3)]
+        rows += [(10 * i + j, " ".join([a, *part, b])) for j, (part, (a, b)) in enumerate(zip(parts, around))]
+    exact = brute_passages(rows)
+    assert set(exact) == {10 * i + 2 for i in range(30)}
+    for parts in (1, 9):  # in one batch, and in several
+        found = {}
+        for r in substrings.passages(frame(spark, rows).repartition(parts)).collect():
+            found.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+        assert all(own <= found.get(d, set()) for d, own in exact.items())
+
+
+def test_partners_like_brute_force():
+    """A window has a partner for every mask on which an earlier document's of its key agrees."""
+    rng = np.random.default_rng(4)
+    n = 300
+    key, doc = np.sort(rng.integers(0, 12, n)), np.zeros(n, np.int64)
+    for k in set(key.tolist()):
+        doc[key == k] = np.sort(rng.integers(0, 9, (key == k).sum()))
+    left, right = rng.integers(0, 70, n), rng.integers(20, 70, n)
+    whole = rng.integers(0, 1 << 48, (2, 12, 2))
+    before, after = (whole[side, key, rng.integers(0, 2, n)] ^ (1 << rng.integers(0, 48, n)) * (rng.random(n) < 0.5) for side in (0, 1))
+    before, after = before & ((1 << np.minimum(left, 48)) - 1), after & ((1 << np.minimum(right, 48)) - 1)
+    own, other, alike = substrings._partners(key, doc, left << 16 | right, before, after)
+    chosen = {}
+    for a, b, sure in zip(own.tolist(), other.tolist(), alike.tolist()):
+        assert key[a] == key[b] and doc[b] < doc[a]
+        if sure:
+            chosen.setdefault(a, []).append(b)
+
+    def agree(a, b, mask):
+        l, r = mask.tolist()
+        wide = all(l >> min(left[i], 48) == 0 and r >> min(right[i], 48) == 0 for i in (a, b))
+        return wide and not (before[a] ^ before[b]) & l and not (after[a] ^ after[b]) & r
+
+    for a in range(n):
+        earlier = [b for b in range(n) if key[b] == key[a] and doc[b] < doc[a]]
+        shared = lambda masks, rows: [m.tolist() for m in masks if any(agree(a, b, m) for b in rows)]  # noqa: E731, B023
+        exact = shared(substrings.EXACT, earlier)
+        assert exact == shared(substrings.EXACT, chosen.get(a, []))
+        assert exact or shared(substrings.LOOSE, earlier) == shared(substrings.LOOSE, chosen.get(a, []))
