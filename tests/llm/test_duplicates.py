@@ -1,10 +1,12 @@
 """Near duplicates and repeated passages against brute force."""
 
 import itertools
+import random
 
 import numpy as np
 import pytest
 from messy import frame, prose, rows_of, texts, words_of
+from pyspark.sql import functions as F
 
 from fleetscope.llm import near, queries, substrings
 
@@ -217,3 +219,31 @@ def test_partners_like_brute_force():
         exact = shared(substrings.EXACT, earlier)
         assert exact == shared(substrings.EXACT, chosen.get(a, []))
         assert exact or shared(substrings.LOOSE, earlier) == shared(substrings.LOOSE, chosen.get(a, []))
+
+
+def near_passages(n, seed):
+    """(doc_id, text) in pairs: a passage of 50 to 56 words and a changed copy of a similarity just over 0.8."""
+    rng, rows = random.Random(seed), []
+    while len(rows) < 2 * n:
+        passage = prose(rng.random(), rng.randint(50, 56), 100_000).split()
+        changed, last = list(passage), None
+        while True:
+            at, kind = rng.randrange(len(changed)), rng.randrange(3)
+            changed[at : at + (kind != 1)] = [f"x{rng.random()}"] if kind != 2 else []
+            a, b = (shingle_set(" ".join(t), 5) for t in (passage, changed))
+            similarity = len(a & b) / len(a | b)
+            if similarity < 0.8:
+                break
+            if len(changed) >= 50:
+                last = (similarity, " ".join(changed))
+        if last and last[0] < 0.84:
+            for text in (" ".join(passage), last[1]):
+                rows.append((len(rows), f"{prose(rng.random(), 70, 100_000)} {text} {prose(rng.random(), 70, 100_000)}"))
+    return rows
+
+
+def test_near_passages_are_candidates(spark):
+    n = 1000
+    docs = frame(spark, near_passages(n, 7)).select("doc_id", "text").withColumn("h", F.xxhash64("text"))
+    met = {(r["doc"], r["doc2"]) for r in substrings.candidates(docs).collect()}
+    assert [i for i in range(n) if (2 * i + 1, 2 * i) not in met] == []
