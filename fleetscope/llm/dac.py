@@ -137,18 +137,24 @@ class WordEncoder:
     white space of ASCII cuts here; A-Z count as a-z, as the vocabulary's normaliser has it. The library
     normalises and splits each new word, but plain ones, which are lower-cased and split here by the
     vocabulary's own pattern, so that only its merges remain to be done for pieces not seen before.
+
+    Names of special tokens in a text are ordinary text; without ``names_are_text`` they are those tokens, as
+    is the library's default, and a text that may have one in it is encoded by the library as it stands.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, names_are_text: bool = True):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = names_are_text
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.shown = dict(enumerate(byte_characters()))
         parts = json.loads(vocabulary)
+        # a name that is no special token's is found in either case
+        added = [t["content"].lower().encode() for t in parts.get("added_tokens", []) if not (names_are_text and t["special"])]
+        self.named = re.compile(b"|".join(map(re.escape, added))).search if added else lambda _: None
         kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
         known = kinds == ["NFC", "Replace", "Lowercase"] and split
@@ -185,19 +191,26 @@ class WordEncoder:
             if len(memo) > MEMO_ENTRIES:
                 for key in list(memo)[MEMO_ENTRIES // 2 :]:  # frequent words come early and stay
                     del memo[key]
-        split = [(t or b"").lower().split() for t in texts]
+        lowered = [(t or b"").lower() for t in texts]
+        split = [[] if self.named(t) else t.split() for t in lowered]
         new = list(set().union(*split).difference(self.words))
         for at in range(0, len(new), 10_000):
             self._learn(new[at : at + 10_000])
         last = struct.pack("<I", end)
-        return [np.frombuffer(b"".join([*map(self.words.__getitem__, ws), last]), "<u4") for ws in split]
+        coded = [np.frombuffer(b"".join([*map(self.words.__getitem__, ws), last]), "<u4") for ws in split]
+        for i, text in enumerate(lowered):
+            if self.named(text):
+                ids = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids
+                coded[i] = np.array([*ids, end], "<u4")
+        return coded
 
 
 # ---- files ---------------------------------------------------------------------------------------
 
 
-def write(docs: DataFrame, vocabulary: str, path: str, end: int = 1) -> None:
-    """Write the ids of every whole text, with ``end`` after each document, below ``path``.
+def write(docs: DataFrame, vocabulary: str, path: str, end: int = 1, names_are_text: bool = False) -> None:
+    """Write the ids of every whole text, with ``end`` after each document, below ``path``. Names of special
+    tokens in a text are those tokens, as in the library, or with ``names_are_text`` ordinary text.
 
     Documents are dealt out by ranges of ``doc_id``, with the text's hash and the row's place behind it,
     so that rows of one id, or without one, need not meet in one task.
@@ -207,7 +220,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int = 1) -> None:
     tokens = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        encoder = WordEncoder(tokens.value)
+        encoder = WordEncoder(tokens.value, names_are_text)
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
         ids, doc_ids, starts, size = [], [], [], 0
 

@@ -143,3 +143,14 @@ def test_words_are_encoded_like_whole_texts(vocabulary, monkeypatch):
     encoder = dac.WordEncoder(vocabulary)
     got = [ids.tolist() for i in range(0, len(column), 50) for ids in encoder.encode([t.encode() for t in column[i : i + 50]], 1)]
     assert got == [[*e.ids, 1] for e in library.encode_batch(column, add_special_tokens=False)]
+
+
+def test_names_of_special_tokens_are_tokens_as_in_the_library(spark, vocabulary, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|startoftext|><|endoftext|>É  y"), (3, "<|EndOfText|> <|endoftext |>"), (4, "a b")]
+    library = Tokenizer.from_str(vocabulary)
+    for names_are_text in (False, True):
+        library.encode_special_tokens = names_are_text
+        path = str(tmp_path / f"{names_are_text}")
+        dac.write(frame(spark, rows), vocabulary, path, **({"names_are_text": True} if names_are_text else {}))
+        got = dict(rows_of(dac.read(spark, path), "doc_id", "ids"))
+        assert got == {d: [*library.encode(t, add_special_tokens=False).ids, 1] for d, t in rows}
