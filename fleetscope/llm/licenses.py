@@ -129,6 +129,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + TEXTS, tex
                 lists = []
                 for k in (PHRASE_K, TEXT_K):
                     flat, bounds = words.shingles(found, k)
+                    whole_grams = found.counts >= k  # a shorter text has one shingle that is no k-gram
+                    flat = flat[np.repeat(whole_grams, np.diff(bounds))]
+                    bounds = np.concatenate(([0], np.cumsum(np.diff(bounds) * whole_grams)))
                     lists.append(words.list_of(flat.astype(np.int64), bounds, pa.int64()))
                 columns = [batch.column("doc_id"), batch.column("row"), pa.array(found.counts), *lists]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_words", "short", "long"])

@@ -234,3 +234,10 @@ def test_phrases_and_texts_are_found(spark, tmp_path):
 def test_licenses_of_an_empty_table(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
     assert rows_of(licenses.scan(frame(spark, [(None, None)])), "doc_id", "n_words", "spans") == [(None, 0, [])]
+
+
+def test_texts_of_few_words_have_each_phrase_once(spark):
+    rows = [(1, "MIT License"), (2, "CC BY"), (3, "the MIT License"), (4, "license"), (5, "Apache License, MIT License")]
+    got = {r["doc_id"]: r["spans"] for r in licenses.scan(frame(spark, rows)).collect()}
+    spans = {d: [(s["start"], s["end"], s["label"]) for s in own if s["phrase"]] for d, own in got.items()}
+    assert spans == {1: [(0, 2, "mit")], 2: [(0, 2, "cc-by")], 3: [(1, 3, "mit")], 4: [], 5: [(0, 2, "apache"), (2, 4, "mit")]}
