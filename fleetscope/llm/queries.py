@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, pitman_yor, quality, substrings
+from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, pitman_yor, quality, runs, substrings
+from fleetscope.llm.textcols import let, word_array
 from fleetscope.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,42 @@ def op10_main_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where every tenth document, by crc32 of its id, repeats a stretch from some word on."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+
+    def turned(own):
+        n, g = F.size(own).cast("long"), F.floor(hashed / 10)
+        first = F.pmod(g, n)
+        period = 1 + F.floor((n - first) / (3 + F.pmod(g, F.lit(8))))
+        source = lambda a, p: lambda w, i: F.when(i < a, w).otherwise(F.get(own, (a + F.pmod(i - a, p)).cast("int")))
+        return let(first, lambda a: let(period, lambda p: F.array_join(F.transform(own, source(a, p)), " ")))
+
+    chosen = F.coalesce(F.pmod(hashed, F.lit(10)) == 0, F.lit(False))
+    text = let(word_array(F.col("text")), lambda own: F.when(F.size(own) > 0, turned(own)).otherwise(""))
+    return docs.withColumn("text", F.when(chosen, text).otherwise(F.col("text")))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of all documents, and digests of them and of the texts without the repetition."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find(periodic_tails(docs))
+    greatest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"], r["period"])))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat(F.lit(""), F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""))
+    return found.withColumn("_top", greatest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("_top.start"),
+        (-F.col("_top.n")).alias("length"),
+        F.col("_top.period"),
+        F.floor(-1000 * F.col("_top.n") / F.col("_top.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return dict(QUERIES)
 
