@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, kdtree, licenses, mixing, near, pages, pitman_yor, quality, runs, substrings
+from fleetscope.llm import bpe, dac, kdtree, lexical, licenses, mixing, near, pages, pitman_yor, quality, runs, substrings
 from fleetscope.llm.textcols import let, word_array
 from fleetscope.session import configure, shared_dir
 
@@ -116,6 +116,15 @@ def op10_main_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+@query
+def op11_ranked_search(spark, sf_dir):
+    """The 50 documents that score highest for each benchmark item, by an index of all documents."""
+    path = shared_dir(spark, "lexical-index")
+    lexical.build(table(spark, sf_dir, "documents"), path)
+    found = lexical.search(spark, path, table(spark, sf_dir, "benchmark"), 50)
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 def periodic_tails(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) where every tenth document, by crc32 of its id, repeats a stretch from some word on."""
     hashed = F.crc32(F.col("doc_id").cast("string"))
@@ -157,4 +166,4 @@ def registered() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_source_mix": mixing.COPIES_SQL}
+    return {"op4_source_mix": mixing.COPIES_SQL, "op11_ranked_search": lexical.SEARCH_SQL.format(k=50)}
