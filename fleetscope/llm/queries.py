@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, dac, kdtree, lexical, licenses, mixing, near, pages, pitman_yor, quality, runs, substrings
+from fleetscope.llm import bpe, dac, kdtree, lexical, licenses, mixing, near, pages, pii, pitman_yor, quality, runs, substrings
 from fleetscope.llm.textcols import let, word_array
 from fleetscope.session import configure, shared_dir
 
@@ -161,6 +161,21 @@ def op12_periodic_runs(spark, sf_dir):
     )
 
 
+@query
+def op13_personal_data(spark, sf_dir):
+    """Spans of personal data in all documents."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    of_kind = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *(of_kind(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return dict(QUERIES)
 
