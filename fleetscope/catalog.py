@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from fleetscope.plans import alerts, health, sequences, summaries, trends
 from fleetscope.session import configure, small_table
 from fleetscope.sources import tables
 from fleetscope.sources.testviews import AS_OF, TestViews
-from fleetscope.streaming import replay
+from fleetscope.streaming import conditions, replay
 
 Query = Callable[[TestViews], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -738,6 +739,38 @@ def stream_assignments(v):
     return replay.assignments(v)
 
 
+def _rule(rule, **changes):
+    """A rule of the alert streams with times that the sparse test events can reach."""
+    return dataclasses.replace(rule, **changes)
+
+
+@query
+def stream_alert_tamper(v):
+    rule = _rule(conditions.TAMPER, hold=360 * conditions.MINUTE)
+    on = replay.alert_periods(v, v.security_events().filter(rule.opens), "event_time", rule)
+    return on.select("lock_id", "raised_at", "withdrawn_at", F.col("n").alias("tamper_events"))
+
+
+@query
+def stream_alert_long_offline(v):
+    on = replay.alert_periods(v, v.fact_lock_status_changes(), "change_time", conditions.LONG_OFFLINE)
+    return on.select("lock_id", F.col("since").alias("offline_since"), "raised_at", "withdrawn_at")
+
+
+@query
+def stream_alert_mass_offline(v):
+    rule = _rule(conditions.MASS_OFFLINE, hold=720 * conditions.MINUTE)
+    told = replay.share_alerts(v, v.fact_lock_status_changes(), "change_time", rule, 0.008)
+    return told.select(F.col("at").alias("told_at"), "what", F.col("total").alias("offline_locks"), F.col("devices").alias("locks"), "share")
+
+
+@query
+def stream_alert_battery(v):
+    rule = conditions.BATTERY
+    told = replay.share_alerts(v, v.security_events().filter(rule.opens), "event_time", rule, 0.04)
+    return told.select(F.col("at").alias("told_at"), "what", F.col("total").alias("battery_low_locks"), F.col("devices").alias("locks"), "share")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query):
         return lambda spark, sf_dir: fn(TestViews(configure(spark), sf_dir))

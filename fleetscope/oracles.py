@@ -31,6 +31,32 @@ def _later(seconds: str) -> str:
     return f"{EPOCH} + interval '1' second * ({seconds})"
 
 
+def _islands(rows: str, gap: str) -> str:
+    """Rows (lock_id, id, t) with the number of the stretch without gaps that they are in."""
+    return f"""select *, sum(fresh) over (partition by lock_id order by t, id rows unbounded preceding) as island
+        from (select *, case when t <= lag(t) over (partition by lock_id order by t, id) + interval {gap} then 0 else 1 end
+              as fresh from {rows})"""
+
+
+_NEXT_STATUS = """(select *, lead(change_time) over (partition by lock_id order by change_time, id) as next from changes)"""
+
+
+def _flips(spans: str, name: str, limit: float) -> str:
+    """When the share of locks within a span [low, high) goes over the limit and back, by whole minutes."""
+    minute = lambda c: f"date_trunc('minute', {c}) + case when {c} > date_trunc('minute', {c}) then interval 1 minute else interval 0 minute end"
+    return f"""select * from (
+        with steps as (
+          select {minute("low")} as told_at, 1 as step from {spans} union all select {minute("high")}, -1 from {spans}),
+        ticks as (select told_at, sum(step) as step from steps group by told_at),
+        counted as (select told_at, sum(step) over (order by told_at rows unbounded preceding) as total from ticks),
+        shares as (select *, (select count(*) from locks) as locks from counted),
+        told as (select *, total / nullif(locks, 0) > {limit} as alert from shares),
+        turned as (select *, lag(alert, 1, false) over (order by told_at) as before from told)
+        select told_at, case when alert then 'raised' else 'withdrawn' end as what, cast(total as bigint) as {name},
+          locks, round(total / nullif(locks, 0), 4) as share
+        from turned where alert <> before)"""
+
+
 def _half_up(a: str, b: str, digits: int) -> str:
     """a / b rounded half up, in whole numbers because a double quotient may miss a tie."""
     scale = 10**digits
@@ -766,6 +792,26 @@ ORACLES = {
           l.status as lock_status, e.event_time
         from security_events e left join locks l on l.id = e.lock_id""",
     "stream_assignments": "select * from intervals",
+    "stream_alert_tamper": f"""
+        select lock_id, min(t) as raised_at, max(t) + interval 6 hour as withdrawn_at, count(*) as tamper_events
+        from ({_islands("(select lock_id, id, event_time as t from security_events where event_type = 'tamper_detected')", "6 hour")})
+        group by lock_id, island""",
+    "stream_alert_long_offline": f"""
+        select lock_id, change_time as offline_since, change_time + interval 30 minute as raised_at, next as withdrawn_at
+        from {_NEXT_STATUS} where status = 'offline' and (next is null or next > change_time + interval 30 minute)""",
+    "stream_alert_mass_offline": _flips(
+        f"""(select change_time as low, least(coalesce(next, change_time + interval 12 hour), change_time + interval 12 hour) as high
+             from {_NEXT_STATUS} where status = 'offline')""",
+        "offline_locks",
+        0.008,
+    ),
+    "stream_alert_battery": _flips(
+        f"""(select min(t) as low, max(t) + interval 1 day as high
+             from ({_islands("(select lock_id, id, event_time as t from security_events where event_type = 'battery_low')", "1 day")})
+             group by lock_id, island)""",
+        "battery_low_locks",
+        0.04,
+    ),
 }
 
 

@@ -1,4 +1,4 @@
-"""Continuous jobs: topics into fact tables, windowed trends, and per-device state across batches."""
+"""Continuous jobs: topics into fact tables, windowed trends, per-device state across batches, and alerts."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from fleetscope.functions.timecols import date_key
 from fleetscope.operators import changelog, quality
 from fleetscope.operators.asof import salted_join
 from fleetscope.sources.sinks import BatchTable, CarriedRows
+from fleetscope.streaming import conditions, reorder
 
 # ---- fixed values: trigger interval per record ----------------------------------------------------
 TRIGGERS = {
@@ -191,13 +192,18 @@ def start_neighbour_stream(
     carried: CarriedRows,
     checkpoint: str,
     trigger: str | None = None,
+    late: BatchTable | None = None,
+    delay: str = "5 minutes",
 ) -> StreamingQuery:
     """Run an analysis that compares each row with the one before it of the same lock, as a stream.
 
     ``analyse`` is the function used in batch. The last row of each lock is carried to the next
     batch and put in front of its rows there, so the neighbour is found. All of it runs on the JVM
-    and cuts hot locks like in batch, however much of a micro-batch one lock fills. A row older
-    than the carried one finds no neighbour and is reported as a first row.
+    and cuts hot locks like in batch, however much of a micro-batch one lock fills.
+
+    With ``late``, rows are held until the watermark has passed them and so come in order; the result
+    is that of the batch function over all rows that are not more than ``delay`` late, and the others go to
+    that table. Without it, a row older than the carried one finds no neighbour and is reported as a first row.
     """
     marker = "_carried"
 
@@ -211,7 +217,27 @@ def start_neighbour_stream(
         sink.write(found.filter(~F.col(marker)).drop(marker), batch_id)
         carried.advance(batch, before, batch_id)
 
-    return start(stream, _kept(write), checkpoint, trigger)
+    return _start_ordered(stream, write, order[0], late, delay, checkpoint, trigger)
+
+
+def _start_ordered(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    ts: str,
+    late: BatchTable | None,
+    delay: str,
+    checkpoint: str,
+    trigger: str | None,
+) -> StreamingQuery:
+    if late is None:
+        return start(stream, _kept(write), checkpoint, trigger)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        behind = F.col(reorder.LATE)
+        late.write(batch.filter(behind).drop(reorder.LATE), batch_id)
+        write(batch.filter(~behind).drop(reorder.LATE), batch_id)
+
+    return start(reorder.in_order(stream, ts, delay), _kept(split), checkpoint, trigger)
 
 
 def start_assignment_stream(
@@ -222,8 +248,13 @@ def start_assignment_stream(
     carried: CarriedRows,
     checkpoint: str,
     trigger: str | None = None,
+    late: BatchTable | None = None,
+    delay: str = "5 minutes",
 ) -> StreamingQuery:
-    """Accepted assignment operations; what each lock has open is carried from batch to batch."""
+    """Accepted assignment operations; what each lock has open is carried from batch to batch.
+
+    ``late`` and ``delay`` as in ``start_neighbour_stream``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -232,4 +263,42 @@ def start_assignment_stream(
         sink.write(changelog.accepted_operations(batch, load_shipments(), order, opening), batch_id)
         carried.advance(sink.read(spark, [batch_id]).drop("batch_id"), before, batch_id)
 
-    return start(stream, _kept(write), checkpoint, trigger)
+    return _start_ordered(stream, write, order[0], late, delay, checkpoint, trigger)
+
+
+# ---- alerts --------------------------------------------------------------------------------------
+
+
+def start_alert_stream(
+    stream: DataFrame,
+    rule: conditions.Condition,
+    ts: str,
+    sink: BatchTable,
+    checkpoint: str,
+    trigger: str | None = None,
+    delay: str = "10 minutes",
+    key: str = "lock_id",
+    tie: str = "id",
+) -> StreamingQuery:
+    """Each lock's alert, raised and withdrawn; ``conditions.periods`` reads the table."""
+    moves = conditions.transitions(stream, rule, key, ts, tie, delay)
+    return start(moves, lambda batch, batch_id: sink.write(batch, batch_id), checkpoint, trigger)
+
+
+def start_share_alert_stream(
+    stream: DataFrame,
+    rule: conditions.Condition,
+    ts: str,
+    load_locks: Callable[[], DataFrame],
+    limit: float,
+    sink: BatchTable,
+    state: BatchTable,
+    checkpoint: str,
+    trigger: str | None = None,
+    delay: str = "10 minutes",
+    key: str = "lock_id",
+    tie: str = "id",
+) -> StreamingQuery:
+    """One alert, raised while more than ``limit`` of all locks are in the rule's condition."""
+    moves = conditions.transitions(stream, rule, key, ts, tie, delay)
+    return start(moves, _kept(conditions.share_flips(load_locks, limit, sink, state)), checkpoint, trigger)

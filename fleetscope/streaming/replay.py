@@ -14,9 +14,9 @@ from fleetscope.operators import changelog, motion
 from fleetscope.session import shared_dir
 from fleetscope.sources.sinks import BatchTable, CarriedRows
 from fleetscope.sources.testviews import TestViews
-from fleetscope.streaming import jobs
+from fleetscope.streaming import conditions, jobs
 
-Start = Callable[[BatchTable, str, str], StreamingQuery]
+Start = Callable[..., StreamingQuery]
 
 
 def _stream(v: TestViews, name: str) -> DataFrame:
@@ -107,33 +107,74 @@ def enriched_events(v: TestViews) -> DataFrame:
     return sink.read(v.spark).select("id", "lock_id", "event_type", "event_class", "lock_status", "event_time")
 
 
+def _delivered(v: TestViews, name: str, rows: DataFrame, ts: str, delay_seconds: int, start: Start) -> BatchTable:
+    """Deliver ``rows`` in two lots, each row up to ``delay_seconds`` after its time, and run the job after each.
+
+    Rows around the middle come in the wrong order, and the second run goes on from the checkpoint of the
+    first. With the second lot comes a row without a lock from far ahead, so that the clock passes all others.
+    """
+    root = shared_dir(v.spark, name)
+    sink, source = BatchTable(f"{root}/table"), f"{root}/delivered"
+    micros = F.unix_micros(ts)
+    ends = rows.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    low, high = (ends["low"], ends["high"]) if ends["low"] is not None else (0, 0)
+    shaken = micros + F.pmod(F.xxhash64(*rows.columns), F.lit(delay_seconds * 1_000_000))
+    first = F.coalesce(shaken < low + (high - low) // 2, F.lit(True))
+    ahead = F.timestamp_micros(F.lit(high + _FAR))
+    nulls = {c: F.lit(None).cast(rows.schema[c].dataType) for c in rows.columns}
+    closing = v.spark.range(1, numPartitions=1).select(*[x.alias(c) for c, x in (nulls | {ts: ahead}).items()])
+    for lot in (rows.filter(first), rows.filter(~first).unionByName(closing)):
+        lot.write.mode("append").parquet(source)
+        stream = v.spark.readStream.schema(rows.schema).parquet(source)
+        start(stream, sink, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return sink
+
+
+_FAR = 3650 * 86_400 * 1_000_000  # microseconds
+
+
 def _neighbours(v: TestViews, name: str, rows: DataFrame, analyse, order: list[str]) -> DataFrame:
-    def start(sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
-        carried = CarriedRows(BatchTable(state), "lock_id", order)
-        return jobs.start_neighbour_stream(rows, analyse, order, sink, carried, checkpoint)
+    def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
+        carried, late = CarriedRows(BatchTable(state), "lock_id", order), BatchTable(f"{state}-late")
+        return jobs.start_neighbour_stream(stream, analyse, order, sink, carried, checkpoint, late=late, delay="10 minutes")
 
-    return _run(v, name, start).read(v.spark).drop("batch_id")
+    return _delivered(v, name, rows, order[0], 300, start).read(v.spark).drop("batch_id")
 
 
 def status_durations(v: TestViews) -> DataFrame:
-    rows = v.as_status_changes(_stream(v, "events"), F.lit(1)).select("id", "lock_id", "status", "change_time")
+    rows = v.fact_lock_status_changes().select("id", "lock_id", "status", "change_time")
     return _neighbours(v, "durations", rows, motion.status_durations, ["change_time", "id"])
 
 
 def distance_delta(v: TestViews) -> DataFrame:
-    rows = v.as_location_updates(_stream(v, "events"))
-    return _neighbours(v, "distances", rows, motion.distance_delta, ["update_time", "id"])
+    return _neighbours(v, "distances", v.fact_location_updates(), motion.distance_delta, ["update_time", "id"])
+
+
+def alert_periods(v: TestViews, rows: DataFrame, ts: str, rule: conditions.Condition) -> DataFrame:
+    """When each lock's alert was on, from rows that come up to five minutes late."""
+
+    def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
+        return jobs.start_alert_stream(stream, rule, ts, sink, checkpoint)
+
+    return conditions.periods(_delivered(v, rule.name, rows, ts, 300, start).read(v.spark), "lock_id")
+
+
+def share_alerts(v: TestViews, rows: DataFrame, ts: str, rule: conditions.Condition, limit: float) -> DataFrame:
+    """When the share of locks in the rule's condition went over ``limit`` and back."""
+
+    def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
+        return jobs.start_share_alert_stream(stream, rule, ts, v.locks, limit, sink, BatchTable(state), checkpoint)
+
+    return _delivered(v, rule.name, rows, ts, 300, start).read(v.spark).drop("batch_id")
 
 
 def assignments(v: TestViews) -> DataFrame:
-    suppliers = F.lit(v.raw("supplier").count())
-    held = v.as_assignments(_stream(v, "orders"), suppliers)
-    rows = v.assignment_log(held.withColumn("shipment_id", shipment_code("shipment_pk")))
+    rows = v.assignment_log(v.lock_assignments().withColumn("shipment_id", shipment_code("shipment_pk")))
     order = ["change_time", "seq"]
 
-    def start(sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
-        carried = CarriedRows(BatchTable(state), "lock_id", order)
-        return jobs.start_assignment_stream(rows, v.shipments, order, sink, carried, checkpoint)
+    def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
+        carried, late = CarriedRows(BatchTable(state), "lock_id", order), BatchTable(f"{state}-late")
+        return jobs.start_assignment_stream(stream, v.shipments, order, sink, carried, checkpoint, late=late, delay="10 minutes")
 
-    accepted = _run(v, "assignments", start).read(v.spark)
+    accepted = _delivered(v, "assignments", rows, "change_time", 300, start).read(v.spark)
     return changelog.pair_operations(accepted, order)
