@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from fleetscope.operators.asof import salted_join
 from fleetscope.operators.hot import SEG, Segments, hot_segments, with_segment
 from fleetscope.operators.ordered import DETECT, over_history
-from fleetscope.session import checkpointed, small_table
+from fleetscope.session import checkpointed
 
 
 def _fold_entity(log: DataFrame, key: str, ts: str, order: list[str]) -> DataFrame:
@@ -83,7 +83,7 @@ def with_previous_status(status_log: DataFrame, order: list[str]) -> DataFrame:
 # ---- assignments: a state machine per lock -------------------------------------------------------
 
 OPENS = "opens"
-_START = "_start"
+_START, _FROM, _TO = "_start", "_from", "_to"
 _LANE = [StructField("lock_id", StringType()), StructField(SEG, IntegerType())]
 
 
@@ -118,15 +118,15 @@ def _accepted(
     ).select(*cols)
     hot = hot_segments(ops, "lock_id", order[0])
     if hot is not None:
-        ops = checkpointed(ops)  # the search for segment starts reads it several times
+        ops = checkpointed(ops)  # read for the segments' functions and again from their starts
     lanes = with_segment(ops, order[0], hot).withColumn(_START, F.lit(None).cast("string"))
     if opening is not None:
         known = opening.select("lock_id", F.lit(0).alias(SEG), F.col("shipment_id").alias("_known"))
         lanes = lanes.join(known, ["lock_id", SEG], "left").withColumn(_START, F.col("_known")).drop("_known")
     if hot is None:
         return _follow(lanes, order).select(*cols), None
-    cut = with_segment(ops, order[0], hot, only_hot=True).withColumn(_START, F.lit(None).cast("string"))
-    lanes = _with_starts(lanes, _segment_starts(cut, order, hot, opening))
+    cut = with_segment(ops, order[0], hot, only_hot=True)
+    lanes = _with_starts(lanes, _segment_starts(cut, order, opening))
     return checkpointed(_follow(lanes, order).select(*cols)), hot
 
 
@@ -165,49 +165,77 @@ def _follow(ops: DataFrame, order: list[str]) -> DataFrame:
     return lanes.mapInPandas(keep_effective, schema)
 
 
-def _with_starts(ops: DataFrame, starts: dict) -> DataFrame:
-    known = [(lock, seg, shipment) for (lock, seg), shipment in starts.items() if shipment is not None]
-    if not known:
-        return ops
-    table = small_table(ops.sparkSession, known, StructType([*_LANE, StructField("_known", StringType())]))
-    joined = ops.join(F.broadcast(table), ["lock_id", SEG], "left")
-    return joined.withColumn(_START, F.coalesce("_known", _START)).drop("_known")
+def _segment_functions(ops: DataFrame, order: list[str]) -> DataFrame:
+    """What each segment does to the shipment open at its start, as columns ``_from`` and ``_to``.
+
+    A segment turns nothing (null) into some state, a shipment that it releases into the state that
+    follows from nothing after that release, and leaves any other shipment open. Read backwards, that
+    is one step per message: the state at the end if nothing is open here, and if a given shipment is. So
+    every segment is read once, on its own, whatever comes before it.
+    """
+    columns = StructType([*_LANE, *(StructField(c, StringType()) for c in (_FROM, _TO))])
 
+    def backwards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lane, nothing, released = None, None, {}
 
-def _segment_starts(ops: DataFrame, order: list[str], hot: Segments, opening: DataFrame | None) -> dict:
-    """The shipment open at the start of every segment of the hot locks.
+        def function() -> pd.DataFrame:
+            rows = [(None, nothing), *((s, end) for s, end in released.items() if s != end)]
+            return pd.DataFrame([(*lane, *row) for row in rows], columns=columns.names)
 
-    All segments run in parallel from a guess (nothing open); the end state of each becomes the
-    start of the next, and only segments whose start turned out different run again. The first
-    segment is right from the beginning and each round settles at least one more, so the fixpoint is
-    the sequential answer; long segments forget their start, so a few rounds do. Only one value per
-    segment (at most 2 * maxSplits of them) comes to the driver.
+        for batch in batches:
+            for lock, seg, shipment, opens in zip(batch["lock_id"], batch[SEG], batch["shipment_id"], batch[OPENS]):
+                if (lock, seg) != lane:
+                    if lane is not None:
+                        yield function()
+                    lane, nothing, released = (lock, seg), None, {}
+                if opens:
+                    nothing = released.get(shipment, shipment)
+                else:
+                    released[shipment] = nothing
+        if lane is not None:
+            yield function()
+
+    newest_first = [F.desc(c) for c in order]
+    lanes = ops.repartition("lock_id", SEG).sortWithinPartitions("lock_id", SEG, *newest_first)
+    return lanes.select("lock_id", SEG, "shipment_id", OPENS).mapInPandas(backwards, columns)
+
+
+def _segment_starts(ops: DataFrame, order: list[str], opening: DataFrame | None) -> DataFrame:
+    """The shipment open at the start of every segment of the hot locks, where one is.
+
+    The segments' functions are applied one after another; a stream over a lock's functions does, with
+    one value as state. Only shipments that some segment leaves open can stand at a start, so functions are
+    cut down to these first. One row per segment comes out, at most 2 * maxSplits.
     """
-    lanes = sorted((r[0], r[1]) for r in ops.select("lock_id", SEG).distinct().collect())
-    before = {lane: prev for prev, lane in zip(lanes, lanes[1:]) if prev[0] == lane[0]}
-    starts = {lane: None for lane in lanes}
+    functions = _segment_functions(ops, order)
     if opening is not None:
-        held = opening.join(hot.keys, "lock_id", "left_semi").collect()
-        held = {r["lock_id"]: r["shipment_id"] for r in held}
-        starts.update({lane: held.get(lane[0]) for lane in lanes if lane not in before})
-    last_ops: dict = {}
-    pending = lanes
-    while pending:
-        todo = small_table(ops.sparkSession, pending, StructType(_LANE))
-        part = ops.join(F.broadcast(todo), ["lock_id", SEG], "left_semi")
-        ends = (
-            _follow(_with_starts(part, starts), order)
-            .groupBy("lock_id", SEG)
-            .agg(F.max_by(F.struct("shipment_id", OPENS), F.struct(*order)).alias("last"))
-            .collect()
-        )
-        last_ops.update(dict.fromkeys(pending))
-        last_ops.update({(r["lock_id"], r[SEG]): r["last"] for r in ends})
-        pending = []
-        for lane, prev in before.items():
-            last = last_ops[prev]
-            state = starts[prev] if last is None else (last["shipment_id"] if last[OPENS] else None)
-            if state != starts[lane]:
-                starts[lane] = state
-                pending.append(lane)
-    return starts
+        none = F.lit(None).cast("string")
+        held = opening.join(ops.select("lock_id").distinct(), "lock_id", "left_semi")
+        functions = functions.unionByName(held.select("lock_id", F.lit(0).alias(SEG), none.alias(_FROM), F.col("shipment_id").alias(_TO)))
+    functions = checkpointed(functions)
+    left_open = functions.filter(F.col(_TO).isNotNull()).select("lock_id", F.col(_TO).alias(_FROM)).distinct()
+    needed = functions.filter(F.col(_FROM).isNull()).unionByName(functions.join(left_open, ["lock_id", _FROM], "left_semi"))
+    columns = StructType([*_LANE, StructField("_known", StringType())])
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lane, state, after = (None, None), None, None
+        for batch in batches:
+            starts = []
+            for lock, seg, before, end in zip(batch["lock_id"], batch[SEG], batch[_FROM], batch[_TO]):
+                if (lock, seg) != lane:
+                    state = after = after if lock == lane[0] else None
+                    lane = (lock, seg)
+                    if state is not None:
+                        starts.append((lock, seg, state))
+                before, end = (x if isinstance(x, str) else None for x in (before, end))
+                if before == state:
+                    after = end
+            yield pd.DataFrame(starts, columns=columns.names)
+
+    ordered = needed.repartition("lock_id").sortWithinPartitions("lock_id", SEG)
+    return ordered.select("lock_id", SEG, _FROM, _TO).mapInPandas(apply, columns)
+
+
+def _with_starts(ops: DataFrame, starts: DataFrame) -> DataFrame:
+    joined = ops.join(F.broadcast(starts), ["lock_id", SEG], "left")
+    return joined.withColumn(_START, F.coalesce("_known", _START)).drop("_known")

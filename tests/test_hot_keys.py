@@ -74,6 +74,33 @@ def test_segments_from_a_sample(spark, skewed, splitting, monkeypatch):
     assert split == rows(sequences.event_windows(skewed))
 
 
+@pytest.mark.parametrize("kind", ["one open all along", "always the other", "chain"])
+def test_assignments_that_hang_on_the_first_message(spark, splitting, kind):
+    """The start of every segment depends on the very first message, however many segments there are."""
+    n = 400
+    if kind == "one open all along":  # nothing takes effect while the first is open, and it closes at the end
+        ops = [("assigned", "A")] + [(("assigned", "released")[i % 2], f"S{i % 7}") for i in range(n - 2)] + [("released", "A")]
+    elif kind == "always the other":  # which of two shipments is open flips with the first message
+        ops = [("assigned", "A")] + [x for _ in range(n // 4) for x in (("released", "A"), ("assigned", "B"), ("released", "B"), ("assigned", "A"))]
+    else:  # each release opens the way for the next shipment
+        ops = [x for i in range(n // 2) for x in (("assigned", f"S{i}"), ("released", f"S{i - 40}"))]
+    log = [("hot", a, s, at(10 * i), i) for i, (a, s) in enumerate(ops)]
+    df = spark.createDataFrame(log, "lock_id string, action string, shipment_id string, change_time timestamp, seq int")
+    known = df.select("shipment_id").distinct()
+    got = changelog.assignments_from_log(df, known, ["change_time", "seq"])
+    assert rows(got) == sorted([("hot", *o) for o in _machine([(t, i, a, s) for _, a, s, t, i in log])], key=repr)
+    opened = changelog.accepted_operations(
+        df.filter("seq >= 3"), known, ["change_time", "seq"], spark.createDataFrame([("hot", ops[0][1])], "lock_id string, shipment_id string")
+    )
+    state, want = ops[0][1], []
+    for i, (action, ship) in list(enumerate(ops))[3:]:
+        takes = state is None if action == "assigned" else state == ship
+        if takes:
+            state = ship if action == "assigned" else None
+            want.append(i)
+    assert sorted(r["seq"] for r in opened.collect()) == want
+
+
 @pytest.mark.parametrize(
     "build",
     [
