@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,6 +123,7 @@ class Pattern:
     base: Rule | None = None
     known: str | None = None
     unknown: str | None = None
+    needs: str = ""  # a text without any of these characters has no match
 
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -130,6 +133,7 @@ PATTERNS = (
         rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
         base=_always,
         known=rf"(?i)@(?:[a-z0-9-]+\.)*(?:{_any(MAIL_HOSTS)})[0-9]*\.",
+        needs="@",
     ),
     Pattern("ip", r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}", _in_range, base=_in_range, unknown=r"^(?:0|255)\."),
     Pattern(
@@ -146,35 +150,37 @@ PATTERNS = (
         _n_digits(8, 15),
         base=_n_digits(8, 15),
         known=rf"^\+(?:{_any(CALLING_CODES)})\b",
+        needs="+",
     ),
     Pattern(
         "phone",
-        r"(?<![0-9A-Za-z+])(?<!\+[0-9]{1,3}[ .-]{0,1})(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])",
-        known=r"^\(?[2-9][0-9]{2}",
-        unknown=r"^\(?[01]",
+        r"(?=[(0-9])(?<![0-9A-Za-z+])(?<!\+[0-9]{1,3}[ .-]{0,1})(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])",
+        lambda m: m.rlike(r"^\(?[2-9][0-9]{2}\)? ?[.-]?[2-9]"),
+        known=r"555[.-]",
     ),
     Pattern(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
+        r"(?=[A-Z])(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
         _iban_checks,
         known=rf"^(?:{_any(IBAN_COUNTRIES)})",
         unknown=rf"^(?!{_any(IBAN_COUNTRIES)})",
     ),
     Pattern(
         "name",
-        rf"(?<![\p{{L}}0-9])(?:(?:{_any(TITLES)})\.? |(?={_any(GIVEN_NAMES)}))\p{{Lu}}\p{{Ll}}{{1,30}}+ \p{{Lu}}\p{{Ll}}{{1,30}}+(?!\p{{L}})",
+        rf"(?=[A-Z])(?<![\p{{L}}0-9])(?:(?:{_any(TITLES)})\.? |(?={_any(GIVEN_NAMES)}))\p{{Lu}}\p{{Ll}}{{1,30}}+ \p{{Lu}}\p{{Ll}}{{1,30}}+(?!\p{{L}})",
         known=rf"\b(?:{_any(GIVEN_NAMES)})\b",
     ),
     Pattern(
         "secret",
-        r"""(?i)(?<=(?:password|passwd|secret|token|api_key|apikey|access_key)["']{0,1}[ ]{0,2}[:=][ ]{0,2}["']{0,1})[^\s"',;|]{8,200}+""",
-        valid=lambda m: m.rlike("[0-9]") & (F.size(F.array_distinct(F.split(m, ""))) >= 5),
+        r"""(?i)(?<=[=:"' ])(?=[^\s"',;|]{8})(?<=(?:password|passwd|secret|token|api_key|apikey|access_key)["']{0,1}[ ]{0,2}[:=][ ]{0,2}["']{0,1})[^\s"',;|]{8,200}+""",
+        valid=lambda m: m.rlike("[0-9]") & ~m.rlike(r"(.)\1{5}") & (F.size(F.array_distinct(F.split(m, ""))) >= 5),
         known=r"^(?:[0-9a-fA-F]{16,}|(?=.*[0-9])(?=.*[A-Za-z])[^ ]{12,})$",
         unknown=rf"(?i){_any(PLACEHOLDERS)}",
+        needs="=:",
     ),
     Pattern(
         "ssn",
-        r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
+        r"(?=[0-9])(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
         lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"),
         unknown=r"^(?:123-45-6789|078-05-1120)$",
     ),
@@ -203,8 +209,9 @@ def _ends(sizes: Column) -> Column:
     return let(sizes, lambda own: F.when(F.size(own) <= BLOCK, _scan(own, F.lit(0))).otherwise(blocks(own)))
 
 
-def _matches(text: Column, looks: str) -> Column:
+def _matches(text: Column, looks: str, needs: str) -> Column:
     """All matches from left to right: start and end in code points, the match, and what stands next to it."""
+    may = [text.contains(c) for c in needs] or [F.lit(True)]
     start = F.array().cast("array<struct<start:bigint,end:bigint,match:string,before:string,after:string>>")
 
     def placed(pieces: Column, found: Column) -> Column:
@@ -222,7 +229,7 @@ def _matches(text: Column, looks: str) -> Column:
         return let(_ends(sizes), ends)
 
     cut = let(F.split(text, looks), lambda p: let(F.regexp_extract_all(text, F.lit(looks), 0), lambda m: placed(p, m)))
-    return F.when(text.rlike(looks), cut).otherwise(start)
+    return F.when(reduce(or_, may) & text.rlike(looks), cut).otherwise(start)
 
 
 def _votes(p: Pattern, x: Column, valid: Column) -> Column:
@@ -272,7 +279,7 @@ def _candidates(text: Column, p: Pattern) -> Column:
 
         return let(p.valid(x["match"]), with_votes)
 
-    return F.transform(_matches(text, p.looks), judged)
+    return F.transform(_matches(text, p.looks, p.needs), judged)
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
