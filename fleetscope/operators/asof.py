@@ -12,6 +12,10 @@ from fleetscope.operators.ordered import over_history, running
 from fleetscope.session import small_table
 
 _AT, _SIDE, _TIE, _HIT = "_at", "_side", "_tie", "_hit"
+#: Cells of an interval join: microseconds of the smallest, as a power of two how many make one of the next size,
+#: and how many sizes. The largest are of 8^8 hours, so that no two timestamps are more than a few of them apart.
+HOUR, BITS, LEVELS = 3_600_000_000, 3, 9
+DAY = 24 * HOUR
 
 
 def asof_join(
@@ -70,42 +74,97 @@ def interval_join(
     end: str,
     cols: list[str],
     how: str = "left",
-    bucket: str = "day",
+    unit: int = HOUR,
 ) -> DataFrame:
     """Each left row with ``cols`` of every right row whose ``[start, end)`` holds its time.
 
     A null ``end`` is an open interval. The range condition is turned into an equi-join: intervals
-    are clipped to the time their key has left rows at all and listed once per ``bucket`` they touch;
-    left rows belong to one bucket. Buckets of a hot key are cut further at its segment bounds, so
-    neither side of one join group grows with the whole history of a device.
+    are clipped to the time their key has left rows at all and cut into cells, the largest that fit:
+    of one unit (microseconds), of 8 units, of 64 and so on, at most 14 of each size. A left row looks
+    up its cell of each size that occurs, so both sides grow by the logarithm of an interval's length
+    only. Cells of a hot key are cut further at its segment bounds: an interval is listed once more for
+    each segment that it covers and whose rows it is joined to anyway.
+
+    With ``how`` left, rows that no interval holds are told by running totals of starts and ends and
+    do not take part in the join.
     """
     spans = left.groupBy(on).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     hot = hot_segments(left, on, ts)
-    pieces = (
+    held = (
         right.select(on, F.col(start).alias("_start"), F.col(end).alias("_end"), F.struct(*cols).alias("_cols"))
         .join(spans, on)
         .filter((F.col("_start") <= F.col("_hi")) & F.coalesce(F.col("_end") > F.col("_lo"), F.lit(True)))
-        .withColumns(
-            {
-                "_lo": F.greatest("_start", "_lo"),
-                "_hi": F.least(F.coalesce("_end", "_hi"), "_hi"),
-            }
-        )
-        .filter(F.col("_lo") <= F.col("_hi"))
-        .withColumn("_bucket", F.explode(_buckets(F.col("_lo"), F.col("_hi"), bucket)))
+        .filter(F.coalesce(F.col("_start") < F.col("_end"), F.lit(True)))
     )
-    bucket_end = F.col("_bucket") + F.expr(f"INTERVAL 1 {bucket}")
-    first, last = F.greatest("_lo", "_bucket"), F.least("_hi", bucket_end)
-    pieces = touched_segments(pieces, F.unix_micros(first), F.unix_micros(last), hot)
-    pieces = pieces.select(on, "_start", "_end", "_bucket", SEG, "_cols")
-
-    probes = with_segment(left.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))), ts, hot)
+    first = F.unix_micros(F.greatest("_start", "_lo"))
+    last = F.unix_micros(F.least(F.coalesce("_end", "_hi"), "_hi"))
+    cells = _cells(_unit(first, unit), _unit(last, unit))
+    pieces = held.withColumns({"_from": first, "_to": last}).withColumn("_cell", F.explode(cells))
+    width = F.call_function("shiftleft", F.lit(unit).cast("bigint"), BITS * F.col("_cell.level"))
+    low = F.greatest("_from", F.col("_cell.number") * width)
+    high = F.least("_to", (F.col("_cell.number") + 1) * width - 1)
+    pieces = touched_segments(pieces, low, high, hot).select(on, "_start", "_end", "_cell", SEG, "_cols")
+
+    sizes = pieces.agg(F.array_sort(F.collect_set("_cell.level"))).scalar()  # at most LEVELS of them
+    number = lambda level: F.call_function("shiftright", _unit(F.unix_micros(ts), unit), BITS * level)
+    looked_up = F.transform("_sizes", lambda level: F.struct(level.alias("level"), number(level).alias("number")))
+    covered, bare = (left, None) if how == "inner" else _covered(left, right, on, ts, start, end)
+    probes = with_segment(covered, ts, hot).withColumn("_sizes", sizes).withColumn("_cell", F.explode(looked_up))
     holds = (F.col(f"p.{ts}") >= F.col("i._start")) & F.coalesce(
         F.col(f"p.{ts}") < F.col("i._end"), F.lit(True)
     )
-    same = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in (on, "_bucket", SEG)]
-    joined = probes.alias("p").join(pieces.alias("i"), [*same, holds], how)
-    return joined.select(*[f"p.{c}" for c in left.columns], *[F.col(f"i._cols.{c}").alias(c) for c in cols])
+    same = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in (on, "_cell", SEG)]
+    joined = probes.alias("p").join(pieces.alias("i"), [*same, holds])
+    out = joined.select(*[f"p.{c}" for c in left.columns], *[F.col(f"i._cols.{c}").alias(c) for c in cols])
+    return out if bare is None else out.unionByName(bare, allowMissingColumns=True)
+
+
+def _unit(micros: Column, unit: int) -> Column:
+    """The number of the unit that a time in microseconds lies in, in whole numbers."""
+    return F.call_function("div", micros - F.pmod(micros, F.lit(unit)), F.lit(unit))
+
+
+def _cells(first: Column, last: Column) -> Column:
+    """The units ``first`` to ``last`` as few cells (level, number) of 2^(BITS * level) units each."""
+    none = F.array().cast("array<struct<level:int,number:bigint>>")
+
+    def step(acc: Column, level: Column) -> Column:
+        low, high = acc["low"], acc["high"]  # of the units of the level, high not included
+        up, down = F.shiftright(low + (2**BITS - 1), BITS), F.shiftright(high, BITS)
+        apart = F.coalesce((level < LEVELS - 1) & (up < down), F.lit(False))  # whole cells of the next size lie between
+        head, tail = (F.when(apart, F.shiftleft(x, BITS)).otherwise(high) for x in (up, down))
+        cells = F.concat(acc["cells"], _range(level, low, head), _range(level, tail, high))
+        return F.struct(F.when(apart, up).alias("low"), F.when(apart, down).alias("high"), cells.alias("cells"))
+
+    begin = F.struct(first.alias("low"), (last + 1).alias("high"), none.alias("cells"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), begin, step, lambda acc: acc["cells"])
+
+
+def _range(level: Column, low: Column, high: Column) -> Column:
+    """Cells ``low`` to before ``high`` of a level; none where ``low`` is null or not less."""
+    cell = lambda n: F.struct(level.alias("level"), n.alias("number"))
+    none = F.array().cast("array<struct<level:int,number:bigint>>")
+    return F.when(low < high, F.transform(F.sequence(low, high - 1), cell)).otherwise(none)
+
+
+def _covered(
+    left: DataFrame, right: DataFrame, on: str, ts: str, start: str, end: str
+) -> tuple[DataFrame, DataFrame]:
+    """The left rows that some interval of their key holds, and the others."""
+    ends = F.array(
+        F.struct(F.col(start).alias(_AT), F.lit(1).alias("_step")),
+        F.struct(F.col(end).alias(_AT), F.lit(-1).alias("_step")),
+    )
+    valid = right.filter(F.coalesce(F.col(start) < F.col(end), F.col(start).isNotNull()))
+    steps = valid.select(on, F.inline(ends), F.lit(0).alias(_SIDE)).filter(F.col(_AT).isNotNull())
+    rows = left.withColumns({_AT: F.col(ts), _SIDE: F.lit(1), "_step": F.lit(0)})
+    moves = steps.unionByName(rows, allowMissingColumns=True)
+    counted = over_history(
+        moves, on, [_AT, _SIDE], lambda w: {"_open": running("_net", w)}, totals={"_net": F.col("_step").cast("bigint")}
+    ).filter(F.col(_SIDE) == 1)
+    known = F.col(on).isNotNull() & F.col(ts).isNotNull()
+    inside = known & (F.col("_open") > 0)
+    return counted.filter(inside).select(*left.columns), counted.filter(~inside).select(*left.columns)
 
 
 def interval_totals(
@@ -146,10 +205,6 @@ def interval_totals(
     )
 
 
-def _buckets(lo: Column, hi: Column, bucket: str) -> Column:
-    return F.sequence(F.date_trunc(bucket, lo), F.date_trunc(bucket, hi), F.expr(f"INTERVAL 1 {bucket}"))
-
-
 def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Equi-join of a large left side that may have hot keys.
 

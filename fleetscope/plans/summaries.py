@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope import model
 from fleetscope.functions.geo import grid
 from fleetscope.functions.scoring import event_class, flag, is_compromised, severity_flag
 from fleetscope.functions.timecols import date_key, seconds_between, trailing_partitions, ts_lit
-from fleetscope.operators.asof import asof_join, interval_totals
+from fleetscope.operators.asof import DAY, asof_join, interval_join, interval_totals
 
 
 def _per_lock(events: DataFrame) -> DataFrame:
@@ -88,6 +88,50 @@ def _per_day(spans: DataFrame, start: str, end) -> DataFrame:
     return spans.withColumns({"from": F.greatest(F.col(start), F.col("day")), "to": until}).drop("_end")
 
 
+_ONE_DAY = F.expr("INTERVAL 1 DAY")
+
+
+def _whole_days(spans: DataFrame) -> DataFrame:
+    """Of each span the whole days in it, as one span; none if there are none."""
+    low, high = F.date_trunc("day", "from"), F.date_trunc("day", "to")
+    low = F.when(F.col("from") == low, low).otherwise(low + _ONE_DAY)
+    return spans.withColumns({"from": low, "to": high}).filter(F.col("from") < F.col("to"))
+
+
+def _part_days(spans: DataFrame) -> DataFrame:
+    """Of each span what lies before and after its whole days: two pieces at most, each within a day."""
+    low, high = F.date_trunc("day", "from"), F.date_trunc("day", "to")
+    piece = lambda start, end: F.struct(start.alias("from"), end.alias("to"))
+    head = F.when((F.col("from") > low) | (low == high), piece(F.col("from"), F.least("to", low + _ONE_DAY)))
+    tail = F.when((F.col("to") > high) & (high > low), piece(high, F.col("to")))
+    others = [c for c in spans.columns if c not in ("from", "to")]
+    return spans.select(*others, F.explode(F.array_compact(F.array(head, tail))).alias("_piece")).select(*others, "_piece.*")
+
+
+def _locks_per_day(spans: DataFrame) -> DataFrame:
+    """date_key, shipment_pk and total_locks: the locks assigned to it at any time of the day.
+
+    Spans count as steps up on their first day and down after their last. Steps of a shipment and lock
+    become one step up and down per stretch of days, and these become running totals of the shipment,
+    so that no span is listed by day; windows see one row per day at most.
+    """
+    ends = F.array(
+        F.struct(F.date_trunc("day", "from").alias("day"), F.lit(1).alias("step")),
+        F.struct((F.date_trunc("day", F.col("to") - F.expr("INTERVAL 1 MICROSECOND")) + _ONE_DAY).alias("day"), F.lit(-1).alias("step")),
+    )
+    pair, shipment = ["shipment_pk", "lock_id"], ["shipment_pk"]
+    steps = spans.select(*pair, F.inline(ends)).groupBy(*pair, "day").agg(F.sum("step").alias("step"))
+    upto = F.sum("step").over(Window.partitionBy(*pair).orderBy("day"))
+    held = steps.withColumn("held", upto).withColumn("was", F.col("held") - F.col("step"))
+    change = flag(F.col("held") > 0) - flag(F.col("was") > 0)
+    turns = held.groupBy(*shipment, "day").agg(F.sum(change).alias("step")).filter(F.col("step") != 0)
+    lane = Window.partitionBy(*shipment).orderBy("day")
+    levels = turns.select(*shipment, "day", F.sum("step").over(lane).alias("total_locks"), F.lead("day").over(lane).alias("until"))
+    days = F.sequence("day", F.col("until") - _ONE_DAY, _ONE_DAY)
+    listed = levels.filter(F.col("total_locks") > 0).select(*shipment, "total_locks", F.explode(days).alias("day"))
+    return listed.select(date_key("day").alias("date_key"), *shipment, "total_locks")
+
+
 def daily_shipment_facts(
     events: DataFrame,
     assignments: DataFrame,
@@ -101,7 +145,7 @@ def daily_shipment_facts(
     Events, status changes and compromised locks belong to the shipment their lock was assigned to
     at the time; total_locks are the locks assigned at any time of the day; open assignments last
     until ``as_of``. Facts are counted per lock and day, or read off running totals, before they
-    meet assignments; no pair of event and assignment is formed. The minutes in transit come from
+    meet assignments; no pair of event and assignment is formed, and no assignment is listed day by day. The minutes in transit come from
     the shipment's own history.
     """
     part = ["date_key", "shipment_pk"]
@@ -123,21 +167,21 @@ def daily_shipment_facts(
         allowMissingColumns=True,
     )
     until = F.coalesce("released_at", ts_lit(as_of))
-    days = _per_day(
-        assignments.select("shipment_pk", "lock_id", "assigned_at", "released_at"), "assigned_at", until
-    ).withColumn("date_key", date_key("day"))
-    # whole days take the lock's total of that day; only first and last days need the running totals
-    whole = (F.col("from") == F.col("day")) & (F.col("to") == F.col("day") + F.expr("INTERVAL 1 DAY"))
-    daily = points.groupBy("lock_id", date_key("at").alias("date_key")).agg(*[F.sum(c).alias(c) for c in counted])
+    spans = assignments.select("shipment_pk", "lock_id", F.col("assigned_at").alias("from"), until.alias("to"))
+    spans = spans.filter(F.col("from") < F.col("to"))
+    # whole days take the lock's totals of these days; only first and last days need the running totals
     keys = [*part, "lock_id"]
-    of_whole = days.filter(whole).join(daily, ["lock_id", "date_key"], "left").select(*keys, *counted)
-    of_parts = interval_totals(points, days.filter(~whole), "lock_id", "at", "from", "to", counted, keys)
+    daily = points.groupBy("lock_id", F.date_trunc("day", "at").alias("day")).agg(*[F.sum(c).alias(c) for c in counted])
+    whole = interval_join(daily, _whole_days(spans), "lock_id", "day", "from", "to", ["shipment_pk"], "inner", unit=DAY)
+    of_whole = whole.withColumn("date_key", date_key("day")).select(*keys, *counted)
+    edges = _part_days(spans).withColumn("date_key", date_key("from"))
+    of_parts = interval_totals(points, edges, "lock_id", "at", "from", "to", counted, keys)
     by_lock = of_whole.unionByName(of_parts).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counted])
     by_day = by_lock.groupBy(*part).agg(
         *[F.sum(c).alias(c) for c in counted[:4]],
         F.sum(flag(F.col("compromised") > 0)).alias("compromised_locks"),
-        F.count("*").alias("total_locks"),
     )
+    by_day = by_day.unionByName(_locks_per_day(spans), allowMissingColumns=True)
     moving = shipment_history.filter(F.col("status") == "in_transit")
     by_transit = (
         _per_day(moving, "effective_from", F.least(F.col("effective_to"), ts_lit(as_of)))

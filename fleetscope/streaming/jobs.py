@@ -193,7 +193,7 @@ def start_neighbour_stream(
     checkpoint: str,
     trigger: str | None = None,
     late: BatchTable | None = None,
-    delay: str = "5 minutes",
+    ordering: reorder.Ordering = reorder.Ordering(),
 ) -> StreamingQuery:
     """Run an analysis that compares each row with the one before it of the same lock, as a stream.
 
@@ -202,8 +202,8 @@ def start_neighbour_stream(
     and cuts hot locks like in batch, however much of a micro-batch one lock fills.
 
     With ``late``, rows are held until the watermark has passed them and so come in order; the result
-    is that of the batch function over all rows that are not more than ``delay`` late, and the others go to
-    that table. Without it, a row older than the carried one finds no neighbour and is reported as a first row.
+    is that of the batch function over all rows that are not later than ``ordering`` allows, and the others go
+    to that table. Without it, a row older than the carried one finds no neighbour and is reported as a first row.
     """
     marker = "_carried"
 
@@ -217,7 +217,7 @@ def start_neighbour_stream(
         sink.write(found.filter(~F.col(marker)).drop(marker), batch_id)
         carried.advance(batch, before, batch_id)
 
-    return _start_ordered(stream, write, order[0], late, delay, checkpoint, trigger)
+    return _start_ordered(stream, write, order[0], late, ordering, checkpoint, trigger)
 
 
 def _start_ordered(
@@ -225,7 +225,7 @@ def _start_ordered(
     write: Callable[[DataFrame, int], None],
     ts: str,
     late: BatchTable | None,
-    delay: str,
+    ordering: reorder.Ordering,
     checkpoint: str,
     trigger: str | None,
 ) -> StreamingQuery:
@@ -237,7 +237,7 @@ def _start_ordered(
         late.write(batch.filter(behind).drop(reorder.LATE), batch_id)
         write(batch.filter(~behind).drop(reorder.LATE), batch_id)
 
-    return start(reorder.in_order(stream, ts, delay), _kept(split), checkpoint, trigger)
+    return start(reorder.in_order(stream, ts, ordering), _kept(split), checkpoint, trigger)
 
 
 def start_assignment_stream(
@@ -249,11 +249,11 @@ def start_assignment_stream(
     checkpoint: str,
     trigger: str | None = None,
     late: BatchTable | None = None,
-    delay: str = "5 minutes",
+    ordering: reorder.Ordering = reorder.Ordering(),
 ) -> StreamingQuery:
     """Accepted assignment operations; what each lock has open is carried from batch to batch.
 
-    ``late`` and ``delay`` as in ``start_neighbour_stream``.
+    ``late`` and ``ordering`` as in ``start_neighbour_stream``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -263,7 +263,7 @@ def start_assignment_stream(
         sink.write(changelog.accepted_operations(batch, load_shipments(), order, opening), batch_id)
         carried.advance(sink.read(spark, [batch_id]).drop("batch_id"), before, batch_id)
 
-    return _start_ordered(stream, write, order[0], late, delay, checkpoint, trigger)
+    return _start_ordered(stream, write, order[0], late, ordering, checkpoint, trigger)
 
 
 # ---- alerts --------------------------------------------------------------------------------------

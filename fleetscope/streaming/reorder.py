@@ -11,6 +11,7 @@ task's work, and state holds no more than the rows of the watermark's delay and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,24 +59,35 @@ class HoldSlice(StatefulProcessor):
         pass
 
 
-def in_order(stream: DataFrame, ts: str, delay: str = "5 minutes", slice_seconds: int = 60, lanes: int = 64) -> DataFrame:
+@dataclass(frozen=True)
+class Ordering:
+    """How late a row may be, how long a slice is, and how many ways the rows of a slice are dealt.
+
+    Each slice and lane that has rows costs some milliseconds: a stream with few rows wants longer slices.
+    """
+
+    delay: str = "5 minutes"
+    slice_seconds: int = 60
+    lanes: int = 64
+
+
+def in_order(stream: DataFrame, ts: str, how: Ordering) -> DataFrame:
     """The stream's rows with ``late``: rows that are not late come in the order of their slices.
 
-    ``ts`` is a timestamp; rows without one cannot be ordered and come out as late. ``lanes`` is how many
-    ways the rows of a slice are dealt.
+    ``ts`` is a timestamp; rows without one cannot be ordered and come out as late.
     """
     fields = [StructField(f.name, LongType()) if f.name == ts else f for f in stream.schema.fields]
     columns = StructType(fields)
     micros = F.unix_micros(ts)
     keys = {
-        _SLICE: F.coalesce(F.floor(micros / (slice_seconds * 1_000_000)), F.lit(-1)),
-        _LANE: F.pmod(F.xxhash64(*stream.columns), F.lit(lanes)),
+        _SLICE: F.coalesce(F.floor(micros / (how.slice_seconds * 1_000_000)), F.lit(-1)),
+        _LANE: F.pmod(F.xxhash64(*stream.columns), F.lit(how.lanes)),
         _AT: micros,
     }
     # the watermark hangs on a column that is dropped: rows behind it are to come out, not to be lost
-    packed = stream.withWatermark(ts, delay).withColumns(keys).drop(ts).withColumnRenamed(_AT, ts)
+    packed = stream.withWatermark(ts, how.delay).withColumns(keys).drop(ts).withColumnRenamed(_AT, ts)
     held = packed.select(*columns.names, _SLICE, _LANE).groupBy(_SLICE, _LANE).transformWithStateInPandas(
-        statefulProcessor=HoldSlice(columns, slice_seconds * 1000),
+        statefulProcessor=HoldSlice(columns, how.slice_seconds * 1000),
         outputStructType=StructType([*fields, StructField(LATE, BooleanType())]),
         outputMode="append",
         timeMode="eventTime",

@@ -14,7 +14,7 @@ from fleetscope.operators import changelog, motion
 from fleetscope.session import shared_dir
 from fleetscope.sources.sinks import BatchTable, CarriedRows
 from fleetscope.sources.testviews import TestViews
-from fleetscope.streaming import conditions, jobs
+from fleetscope.streaming import conditions, jobs, reorder
 
 Start = Callable[..., StreamingQuery]
 
@@ -107,11 +107,13 @@ def enriched_events(v: TestViews) -> DataFrame:
     return sink.read(v.spark).select("id", "lock_id", "event_type", "event_class", "lock_status", "event_time")
 
 
-def _delivered(v: TestViews, name: str, rows: DataFrame, ts: str, delay_seconds: int, start: Start) -> BatchTable:
-    """Deliver ``rows`` in two lots, each row up to ``delay_seconds`` after its time, and run the job after each.
+def _delivered(
+    v: TestViews, name: str, rows: DataFrame, ts: str, delay_seconds: int, start: Start, lots: int = 2
+) -> BatchTable:
+    """Deliver ``rows`` in lots, each row up to ``delay_seconds`` after its time, and run the job after each.
 
-    Rows around the middle come in the wrong order, and the second run goes on from the checkpoint of the
-    first. With the second lot comes a row without a lock from far ahead, so that the clock passes all others.
+    Rows around the borders come in the wrong order, and each run goes on from the checkpoint of the one
+    before. With the last lot comes a row without a lock from far ahead, so that the clock passes all others.
     """
     root = shared_dir(v.spark, name)
     sink, source = BatchTable(f"{root}/table"), f"{root}/delivered"
@@ -119,26 +121,30 @@ def _delivered(v: TestViews, name: str, rows: DataFrame, ts: str, delay_seconds:
     ends = rows.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
     low, high = (ends["low"], ends["high"]) if ends["low"] is not None else (0, 0)
     shaken = micros + F.pmod(F.xxhash64(*rows.columns), F.lit(delay_seconds * 1_000_000))
-    first = F.coalesce(shaken < low + (high - low) // 2, F.lit(True))
+    lot = F.coalesce(F.floor((shaken - low) * lots / (high - low + 1)), F.lit(0))
+    lot = F.least(lot, F.lit(lots - 1))
     ahead = F.timestamp_micros(F.lit(high + _FAR))
     nulls = {c: F.lit(None).cast(rows.schema[c].dataType) for c in rows.columns}
     closing = v.spark.range(1, numPartitions=1).select(*[x.alias(c) for c, x in (nulls | {ts: ahead}).items()])
-    for lot in (rows.filter(first), rows.filter(~first).unionByName(closing)):
-        lot.write.mode("append").parquet(source)
+    for n in range(lots):
+        own = rows.filter(lot == n)
+        own = own.unionByName(closing) if n == lots - 1 else own
+        own.write.mode("append").parquet(source)
         stream = v.spark.readStream.schema(rows.schema).parquet(source)
         start(stream, sink, f"{root}/state", f"{root}/checkpoint").awaitTermination()
     return sink
 
 
+_SPARSE = reorder.Ordering("10 minutes", slice_seconds=21_600, lanes=4)
 _FAR = 3650 * 86_400 * 1_000_000  # microseconds
 
 
 def _neighbours(v: TestViews, name: str, rows: DataFrame, analyse, order: list[str]) -> DataFrame:
     def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
         carried, late = CarriedRows(BatchTable(state), "lock_id", order), BatchTable(f"{state}-late")
-        return jobs.start_neighbour_stream(stream, analyse, order, sink, carried, checkpoint, late=late, delay="10 minutes")
+        return jobs.start_neighbour_stream(stream, analyse, order, sink, carried, checkpoint, late=late, ordering=_SPARSE)
 
-    return _delivered(v, name, rows, order[0], 300, start).read(v.spark).drop("batch_id")
+    return _delivered(v, name, rows, order[0], 300, start, lots=1).read(v.spark).drop("batch_id")
 
 
 def status_durations(v: TestViews) -> DataFrame:
@@ -174,7 +180,7 @@ def assignments(v: TestViews) -> DataFrame:
 
     def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
         carried, late = CarriedRows(BatchTable(state), "lock_id", order), BatchTable(f"{state}-late")
-        return jobs.start_assignment_stream(stream, v.shipments, order, sink, carried, checkpoint, late=late, delay="10 minutes")
+        return jobs.start_assignment_stream(stream, v.shipments, order, sink, carried, checkpoint, late=late, ordering=_SPARSE)
 
     accepted = _delivered(v, "assignments", rows, "change_time", 300, start).read(v.spark)
     return changelog.pair_operations(accepted, order)

@@ -11,10 +11,11 @@ import pytest
 from fleetscope.operators import changelog, motion
 from fleetscope.plans import alerts
 from fleetscope.sources.sinks import BatchTable, CarriedRows
-from fleetscope.streaming import conditions, jobs
+from fleetscope.streaming import conditions, jobs, reorder
 from fleetscope.streaming.conditions import LATE, MINUTE, RAISED, WITHDRAWN, Condition, Tracker
 
 T0 = datetime(2024, 1, 1)
+SMALL = reorder.Ordering(slice_seconds=120, lanes=2)
 STATUS = "id long, lock_id string, status string, change_time timestamp"
 
 
@@ -77,7 +78,7 @@ def test_rows_in_any_order_give_the_batch_result(spark, tmp_path):
     sink, late = BatchTable(str(tmp_path / "out")), BatchTable(str(tmp_path / "late"))
     order = ["change_time", "id"]
     carried = CarriedRows(BatchTable(str(tmp_path / "state")), "lock_id", order, 2)
-    query = jobs.start_neighbour_stream(feed.stream(), motion.status_durations, order, sink, carried, str(tmp_path / "c"), late=late)
+    query = jobs.start_neighbour_stream(feed.stream(), motion.status_durations, order, sink, carried, str(tmp_path / "c"), late=late, ordering=SMALL)
     query.awaitTermination()
     got = sink.read(spark)
     assert got.select("batch_id").distinct().count() >= 4
@@ -99,7 +100,7 @@ def test_rows_behind_the_watermark_are_set_aside(spark, tmp_path):
     order = ["change_time", "id"]
     carried = CarriedRows(BatchTable(str(tmp_path / "state")), "lock_id", order)
     jobs.start_neighbour_stream(
-        feed.stream(), motion.status_durations, order, sink, carried, str(tmp_path / "c"), late=late, delay="2 minutes"
+        feed.stream(), motion.status_durations, order, sink, carried, str(tmp_path / "c"), late=late, ordering=reorder.Ordering("2 minutes", lanes=3)
     ).awaitTermination()
     assert rows_of(late.read(spark).select("id")) == [(r[0],) for r in behind]
     assert rows_of(sink.read(spark).drop("batch_id")) == rows_of(motion.status_durations(spark.createDataFrame(rows, STATUS)))
@@ -122,7 +123,7 @@ def test_assignments_in_any_order(spark, tmp_path, split_small):
     order = ["change_time", "seq"]
     carried = CarriedRows(BatchTable(str(tmp_path / "state")), "lock_id", order)
     jobs.start_assignment_stream(
-        feed.stream(), lambda: ships, order, sink, carried, str(tmp_path / "c"), late=late
+        feed.stream(), lambda: ships, order, sink, carried, str(tmp_path / "c"), late=late, ordering=SMALL
     ).awaitTermination()
     got = changelog.pair_operations(sink.read(spark), order)
     want = changelog.assignments_from_log(spark.createDataFrame(rows, schema), ships, order)
