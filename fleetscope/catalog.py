@@ -13,10 +13,11 @@ from fleetscope.functions.routes import ROUTE_POINT_SCHEMA, ROUTE_POINTS, ROUTES
 from fleetscope.functions.timecols import from_millis, with_date_key
 from fleetscope.operators import changelog, dims, motion, ordered, quality
 from fleetscope.operators.asof import interval_join
-from fleetscope.plans import alerts, health, sequences, summaries, trends
-from fleetscope.session import configure, small_table
+from fleetscope.plans import alerts, health, sequences, summaries, trends, upkeep
+from fleetscope.session import configure, shared_dir, small_table
 from fleetscope.sources import tables
 from fleetscope.sources.testviews import AS_OF, TestViews
+from fleetscope.sources.versions import VersionedTable
 from fleetscope.streaming import conditions, replay
 
 Query = Callable[[TestViews], DataFrame]
@@ -36,6 +37,11 @@ def _days_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in days}) if days else df
 
 
+def _batches(df: DataFrame, key: str, n: int) -> list[DataFrame]:
+    """All rows, dealt into ``n`` change batches whatever their times."""
+    return [df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
+
+
 def _rounded(df: DataFrame, *cols: str, digits: int = 3) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -394,6 +400,25 @@ def shipment_health(v):
     return _health(v)
 
 
+@query
+def mv_shipment_health(v):
+    """The health view kept up from four batches of new facts, instead of built from all of them."""
+    view = upkeep.ShipmentHealth(VersionedTable(shared_dir(v.spark, "health-view")), buckets=8)
+    facts = (v.fact_lock_status_changes(), v.security_events(), v.fact_location_updates())
+    for n, parts in enumerate(zip(*(_batches(f, "id", 4) for f in facts))):
+        view.apply(*parts, n)
+    return view.read(v.dim_shipment())
+
+
+@query
+def mv_hourly_event_trend(v):
+    """The hourly trend kept up from four batches of new events."""
+    view = upkeep.HourlyCounts(VersionedTable(shared_dir(v.spark, "hourly-view")))
+    for n, part in enumerate(_batches(v.security_events(), "id", 4)):
+        view.apply(part, n)
+    return _days_as_text(trends.trend_view(view.read(v.spark), dims.dim_date(v.spark), dims.dim_event_type(v.spark)))
+
+
 @query
 def shipment_health_dedup(v):
     return _health(v, fanout=False)
@@ -576,6 +601,28 @@ def scd2_shipment(v):
     return dims.scd2(v.shipment_log(), "shipment_id", ["status"], "change_time", "seq")
 
 
+@query
+def scd2_incremental(v):
+    """The lock history from changes that arrive in three batches, in any order."""
+    schema = "lock_id string, status string, change_time timestamp, id bigint"
+    root = shared_dir(v.spark, "lock-history")
+    history = upkeep.History(VersionedTable(root), "lock_id", ("status",), "change_time", "id", schema)
+    for n, part in enumerate(_batches(v.fact_lock_status_changes(), "id", 3)):
+        history.apply(part, n)
+    return history.read(v.spark)
+
+
+@query
+def merge_dimension_parts(v):
+    """The lock dimension, stored by buckets and merged with the latest changes of each of three groups of locks."""
+    dimension = upkeep.Dimension(VersionedTable(shared_dir(v.spark, "lock-dimension")), "id", "id string, status string")
+    dimension.merge(v.locks().select("id", "status"))
+    staged = ordered.latest_per_key(v.fact_lock_status_changes(), "lock_id", ["change_time", "id"], ["status"])
+    for part in _batches(staged.withColumnRenamed("lock_id", "id"), "id", 3):
+        dimension.merge(part)
+    return dimension.read(v.spark)
+
+
 @query
 def merge_dimension(v):
     """Lock dimension updated from the latest status changes; locks without a change keep theirs."""

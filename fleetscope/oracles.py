@@ -492,6 +492,8 @@ ORACLES = {
         select lock_id, event_type, severity, count(*) as event_count, min(event_time) as first_seen,
           max(event_time) as last_seen
         from security_events group by all""",
+    "mv_hourly_event_trend": "select * replace (cast(event_date as varchar) as event_date) from trend",
+    "mv_shipment_health": _health(True, "per_lock_events", False),
     "hourly_event_trend": "select * replace (cast(event_date as varchar) as event_date) from trend",
     "recent_hourly_trend": f"{_TRENDS} where event_time > {AS_OF} - interval 30 day group by all",
     "trend_24h": f"select * exclude (event_date) from trend where event_hour >= {AS_OF} - interval 24 hour",
@@ -712,6 +714,11 @@ ORACLES = {
         from intervals group by 1""",
     "scd2_lock": _scd2("changes", "lock_id", "id"),
     "scd2_shipment": _scd2("shipment_log", "shipment_id", "seq"),
+    "scd2_incremental": _scd2("changes", "lock_id", "id"),
+    "merge_dimension_parts": """
+        select l.id, coalesce(c.status, l.status) as status
+        from locks l full join (select lock_id, arg_max(status, (change_time, id)) as status
+                                from changes group by lock_id) c on c.lock_id = l.id""",
     "merge_dimension": """
         select l.id, coalesce(c.status, l.status) as status
         from locks l full join (select lock_id, arg_max(status, (change_time, id)) as status

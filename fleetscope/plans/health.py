@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope import model
@@ -48,24 +48,30 @@ def shipment_health(
         .groupBy("shipment_id", "lock_id")
         .agg(F.count("*").alias("rows"))
     )
+    pairs = per_pair.join(per_lock_events, "lock_id", "left").join(per_lock_positions, "lock_id", "left")
+    return health_view(dim_shipment, multiplied(pairs, fanout), no_event=F.lit(1 if fanout else 0).cast("bigint"))
+
+
+def multiplied(pairs: DataFrame, fanout: bool = True) -> DataFrame:
+    """Totals per shipment from the counts of its locks: with ``fanout`` every event once per status row and position."""
     one = F.lit(1).cast("bigint")
     none = F.lit(0).cast("bigint")
     times = F.col("rows") * F.coalesce("positions", one) if fanout else one
     no_event = one if fanout else none
-    per_shipment = (
-        per_pair.join(per_lock_events, "lock_id", "left")
-        .join(per_lock_positions, "lock_id", "left")
-        .groupBy("shipment_id")
-        .agg(
-            F.count("lock_id").alias("active_locks"),
-            F.sum(times * F.coalesce("n", none)).alias("total_security_events"),
-            F.sum(times * F.coalesce("critical", none)).alias("critical_events"),
-            F.sum(times * F.coalesce("high", none)).alias("high_events"),
-            F.max("last_event").alias("last_security_event"),
-            F.max("last_position").alias("last_location_update"),
-            F.sum(times * F.coalesce("points", no_event)).alias("points"),
-        )
+    return pairs.groupBy("shipment_id").agg(
+        F.count("lock_id").alias("active_locks"),
+        F.sum(times * F.coalesce("n", none)).alias("total_security_events"),
+        F.sum(times * F.coalesce("critical", none)).alias("critical_events"),
+        F.sum(times * F.coalesce("high", none)).alias("high_events"),
+        F.max("last_event").alias("last_security_event"),
+        F.max("last_position").alias("last_location_update"),
+        F.sum(times * F.coalesce("points", no_event)).alias("points"),
     )
+
+
+def health_view(dim_shipment: DataFrame, per_shipment: DataFrame, no_event: Column) -> DataFrame:
+    """Every current shipment with its totals and score; one without locks has the points ``no_event``."""
+    none = F.lit(0).cast("bigint")
     zero = lambda c: F.coalesce(c, none).alias(c)
     return (
         current(dim_shipment)

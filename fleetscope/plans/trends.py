@@ -25,9 +25,13 @@ def hourly_event_trend(events: DataFrame, dim_date: DataFrame, dim_event_type: D
 
     The hour decides the date, so both dimensions (fixed size) join the counts, not the facts.
     """
+    return trend_view(hourly_counts(events), dim_date, dim_event_type)
+
+
+def trend_view(counts: DataFrame, dim_date: DataFrame, dim_event_type: DataFrame) -> DataFrame:
+    """Hourly counts with their date and category."""
     return (
-        hourly_counts(events)
-        .withColumn("date_key", date_key("event_hour"))
+        counts.withColumn("date_key", date_key("event_hour"))
         .join(F.broadcast(dim_date.select("date_key", F.col("full_date").alias("event_date"))), "date_key")
         .join(F.broadcast(dim_event_type.select("event_type", F.col("category").alias("event_category"))), "event_type")
         .select("event_hour", "event_date", "event_type", "event_category", "severity", "event_count")
