@@ -705,6 +705,11 @@ def incident_bursts(v):
     return motion.incident_bursts(v.security_events(), n=3, seconds=86400)
 
 
+@query
+def incident_sessions(v):
+    return motion.incident_sessions(v.security_events(), "12 hours")
+
+
 # ---- alerts --------------------------------------------------------------------------------------
 
 
@@ -786,6 +791,11 @@ def stream_assignments(v):
     return replay.assignments(v)
 
 
+@query
+def stream_incident_sessions(v):
+    return replay.incident_sessions(v, "12 hours")
+
+
 def _rule(rule, **changes):
     """A rule of the alert streams with times that the sparse test events can reach."""
     return dataclasses.replace(rule, **changes)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope import model
 from fleetscope.functions.geo import haversine_m
+from fleetscope.functions.scoring import severity_flag
 from fleetscope.functions.timecols import seconds_between, ts_lit
-from fleetscope.operators.ordered import over_history, rolling_count
+from fleetscope.operators.ordered import over_history, rolling_count, sessions
 
 # ---- fixed values: battery thresholds (percent) and their severities -----------------------------
 BATTERY_LEVELS = [(20, "medium"), (10, "high"), (5, "critical")]
@@ -158,6 +159,19 @@ def incident_bursts(events: DataFrame, n: int = 15, seconds: int = 30) -> DataFr
     return counted.filter(F.col("events_in_window") >= n).drop("_sec")
 
 
+def incidents(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("severity").isin("high", "critical"))
+
+
+def incident_measures() -> dict[str, Column]:
+    return {"incidents": F.count("*"), "critical_incidents": F.sum(severity_flag("critical"))}
+
+
+def incident_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Stretches of high and critical events of a lock with less than ``gap`` between them."""
+    return sessions(incidents(events), "lock_id", ["event_time", "id"], gap, incident_measures())
+
+
 def status_durations(
     changes: DataFrame, order: list[str] | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -148,3 +148,24 @@ def dense_ranks(df: DataFrame, value: str) -> DataFrame:
         )
     )
     return df.join(ranks, value)
+
+
+def sessions(df: DataFrame, key: str, order: list[str], gap: str, measures: dict[str, Column]) -> DataFrame:
+    """Runs of a key's rows that follow each other in less than ``gap``: session_start, session_end and ``measures``.
+
+    The same as grouping by ``session_window``, which puts all rows of a key into one task. Here a row is
+    marked as the first of a session when it comes ``gap`` or more after the one before, and the running
+    total of marks numbers the sessions, both exact across the cuts of a hot key. A session's rows are
+    then aggregated on the map side. Rows without a time belong to no session.
+    """
+    ts = order[0]
+    length = F.expr(f"INTERVAL {gap}")
+    timed = df.filter(F.col(ts).isNotNull())
+    marked = over_history(timed, key, order, lambda w: {"_was": F.lag(ts).over(w)}, back=1)
+    first = F.when(F.col("_was").isNull() | (F.col(ts) >= F.col("_was") + length), 1).otherwise(0).cast("bigint")
+    numbered = over_history(
+        marked, key, order, lambda w: {"_session": running("_first", w)}, totals={"_first": first}
+    )
+    found = [F.min(ts).alias("session_start"), (F.max(ts) + length).alias("session_end")]
+    found += [value.alias(name) for name, value in measures.items()]
+    return numbered.groupBy(key, "_session").agg(*found).drop("_session")

@@ -38,6 +38,14 @@ def _islands(rows: str, gap: str) -> str:
               as fresh from {rows})"""
 
 
+_SESSIONS = """
+    select lock_id, min(event_time) as session_start, max(event_time) + interval 12 hour as session_end,
+      count(*) as incidents, cast(sum(case when severity = 'critical' then 1 else 0 end) as bigint) as critical_incidents
+    from (select *, sum(fresh) over (partition by lock_id order by event_time, id rows unbounded preceding) as session
+          from (select *, case when event_time < lag(event_time) over (partition by lock_id order by event_time, id)
+                  + interval 12 hour then 0 else 1 end as fresh
+                from security_events where severity in ('high', 'critical')))
+    group by lock_id, session"""
 _NEXT_STATUS = """(select *, lead(change_time) over (partition by lock_id order by change_time, id) as next from changes)"""
 
 
@@ -758,6 +766,8 @@ ORACLES = {
               from security_events where event_type in ('tamper_detected', 'unlock_attempt')
                 and severity in ('high', 'critical'))
         where events_in_window >= 3""",
+    "incident_sessions": _SESSIONS,
+    "stream_incident_sessions": _SESSIONS,
     "alert_tamper": f"""
         select lock_id, count(*) as tamper_events, max(event_time) as last_event from security_events
         where event_type = 'tamper_detected' and event_time > {AS_OF} - interval 6 hour group by lock_id""",

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetscope import model
 from fleetscope.functions.scoring import event_class
 from fleetscope.functions.timecols import date_key
-from fleetscope.operators import changelog, quality
+from fleetscope.operators import changelog, motion, quality
 from fleetscope.operators.asof import salted_join
 from fleetscope.sources.sinks import BatchTable, CarriedRows
 from fleetscope.streaming import conditions, reorder
@@ -152,6 +152,22 @@ def sliding_critical(
     )
 
 
+def incident_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+    """``motion.incident_sessions`` as a stream: a session comes out when the watermark has passed its end."""
+    return (
+        motion.incidents(stream)
+        .withWatermark("event_time", delay)
+        .groupBy("lock_id", F.session_window("event_time", gap).alias("w"))
+        .agg(*[value.alias(name) for name, value in motion.incident_measures().items()])
+        .select("lock_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *motion.incident_measures())
+    )
+
+
+def start_appends(stream: DataFrame, sink: BatchTable, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Write what an append-mode aggregate gives out, each result once and final."""
+    return start(stream, lambda batch, batch_id: sink.write(batch, batch_id), checkpoint, trigger)
+
+
 def start_upserts(stream: DataFrame, sink: BatchTable, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Write the changed rows of an update-mode aggregate; ``BatchTable.latest`` reads the result."""
     return start(stream, lambda batch, batch_id: sink.write(batch, batch_id), checkpoint, trigger, "update")

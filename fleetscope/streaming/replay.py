@@ -108,7 +108,14 @@ def enriched_events(v: TestViews) -> DataFrame:
 
 
 def _delivered(
-    v: TestViews, name: str, rows: DataFrame, ts: str, delay_seconds: int, start: Start, lots: int = 2
+    v: TestViews,
+    name: str,
+    rows: DataFrame,
+    ts: str,
+    delay_seconds: int,
+    start: Start,
+    lots: int = 2,
+    values: dict[str, str] | None = None,
 ) -> BatchTable:
     """Deliver ``rows`` in lots, each row up to ``delay_seconds`` after its time, and run the job after each.
 
@@ -125,7 +132,8 @@ def _delivered(
     lot = F.least(lot, F.lit(lots - 1))
     ahead = F.timestamp_micros(F.lit(high + _FAR))
     nulls = {c: F.lit(None).cast(rows.schema[c].dataType) for c in rows.columns}
-    closing = v.spark.range(1, numPartitions=1).select(*[x.alias(c) for c, x in (nulls | {ts: ahead}).items()])
+    given = {c: F.lit(x) for c, x in (values or {}).items()}  # of the row that closes
+    closing = v.spark.range(1, numPartitions=1).select(*[x.alias(c) for c, x in (nulls | {ts: ahead} | given).items()])
     for n in range(lots):
         own = rows.filter(lot == n)
         own = own.unionByName(closing) if n == lots - 1 else own
@@ -165,6 +173,16 @@ def alert_periods(v: TestViews, rows: DataFrame, ts: str, rule: conditions.Condi
     return conditions.periods(_delivered(v, rule.name, rows, ts, 300, start).read(v.spark), "lock_id")
 
 
+def incident_sessions(v: TestViews, gap: str) -> DataFrame:
+    def start(stream: DataFrame, sink: BatchTable, state: str, checkpoint: str) -> StreamingQuery:
+        return jobs.start_appends(jobs.incident_sessions(stream, gap), sink, checkpoint)
+
+    # the closing row has to be an incident itself, or the filter hides it from the clock
+    rows = motion.incidents(v.security_events())
+    sink = _delivered(v, "sessions", rows, "event_time", 300, start, values={"severity": "high"})
+    return sink.read(v.spark).filter(F.col("lock_id").isNotNull()).drop("batch_id")
+
+
 def share_alerts(v: TestViews, rows: DataFrame, ts: str, rule: conditions.Condition, limit: float) -> DataFrame:
     """When the share of locks in the rule's condition went over ``limit`` and back."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import changelog, hot
 from fleetscope.operators.asof import asof_join, interval_join, interval_totals, salted_join
-from fleetscope.operators.ordered import over_history, rolling_count, running
+from fleetscope.operators.ordered import over_history, rolling_count, running, sessions
 from fleetscope.plans import sequences
 
 T0 = datetime(2024, 1, 1)
@@ -201,6 +201,15 @@ def test_salted_join_equals_plain(spark, skewed, splitting, how):
     assert rows(salted.select(*plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("gap", ["7 seconds", "1 minute", "1 day"])
+def test_sessions_equal_session_windows(spark, skewed, splitting, gap):
+    measures = lambda: {"n": F.count("*"), "ids": F.sort_array(F.collect_list("id"))}
+    got = sessions(skewed, "lock_id", ["event_time", "id"], gap, measures())
+    w = F.session_window("event_time", gap).alias("w")
+    want = skewed.groupBy("lock_id", w).agg(*[c.alias(n) for n, c in measures().items()])
+    assert rows(got) == rows(want.select("lock_id", "w.start", "w.end", "n", "ids"))
+
+
 def _machine(ops):
     """Assignments of one lock by the plain state machine."""
     out, active = [], None
