@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetscope.functions import geo, scoring
 from fleetscope.functions.routes import ROUTE_POINT_SCHEMA, ROUTE_POINTS, ROUTES
 from fleetscope.functions.timecols import from_millis, with_date_key
-from fleetscope.operators import changelog, dims, motion, ordered, quality
+from fleetscope.operators import changelog, dims, fences, motion, ordered, quality
 from fleetscope.operators.asof import interval_join
 from fleetscope.plans import alerts, health, sequences, summaries, trends, upkeep
 from fleetscope.session import configure, shared_dir, small_table
@@ -705,6 +705,24 @@ def incident_bursts(v):
     return motion.incident_bursts(v.security_events(), n=3, seconds=86400)
 
 
+@query
+def geofence_table(v):
+    """The fences, one around each supplier's yard, that each position lies in."""
+    inside = fences.inside_fences(v.fact_location_updates(), v.fences())
+    return inside.select("id", "lock_id", "fence_id")
+
+
+@query
+def geofence_outside(v):
+    """Positions of locks that lie in no fence at all."""
+    return fences.outside_fences(v.fact_location_updates(), v.fences(), "id").select("id", "lock_id")
+
+
+@query
+def rolling_affected(v):
+    return _days_as_text(trends.rolling_affected(v.security_events()))
+
+
 @query
 def incident_sessions(v):
     return motion.incident_sessions(v.security_events(), "12 hours")

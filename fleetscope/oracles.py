@@ -272,6 +272,12 @@ _SECONDS = lambda later, earlier: _SINCE.format(later, earlier)
 _METRES = _metres("lat0", "lon0", "latitude", "longitude")
 _HOURS = "((epoch_us(update_time) - epoch_us(was_at)) / 3.6e9)"
 _DEPOT = _metres("latitude", "longitude", "-33.5", "-59.5")
+_FENCED = f"""
+    select * from (select m.id, m.lock_id, f.fence_id, f.radius_m,
+        {_metres("m.latitude", "m.longitude", "f.lat", "f.lon")} as metres
+      from moves m, (select s_suppkey as fence_id, {_LAT.replace("* 37", "* 61").format("s_suppkey")} as lat,
+        {_LON.replace("* 53", "* 87").format("s_suppkey")} as lon, (s_suppkey % 20 + 1) * 1000.0 as radius_m from supplier) f)
+    where metres <= radius_m"""
 _DISTANCES = f"""
     select lock_id, latitude, longitude, update_time, {_METRES} as metres,
       case when {_HOURS} > 0 then {_METRES} / 1000 / {_HOURS} end as kmh from hops"""
@@ -766,6 +772,15 @@ ORACLES = {
               from security_events where event_type in ('tamper_detected', 'unlock_attempt')
                 and severity in ('high', 'critical'))
         where events_in_window >= 3""",
+    "geofence_table": f"select id, lock_id, fence_id from ({_FENCED})",
+    "geofence_outside": f"select id, lock_id from moves where id not in (select id from ({_FENCED}))",
+    "rolling_affected": """select * from (
+        with daily as (select distinct event_type, lock_id, cast(event_time as date) as day from security_events),
+        days as (select event_type, unnest(generate_series(min(day), max(day), interval 1 day))::date as day
+                 from daily group by event_type)
+        select d.event_type, cast(d.day as varchar) as day, count(distinct e.lock_id) as affected_locks
+        from days d left join daily e on e.event_type = d.event_type and e.day <= d.day and e.day > d.day - 7
+        group by d.event_type, d.day)""",
     "incident_sessions": _SESSIONS,
     "stream_incident_sessions": _SESSIONS,
     "alert_tamper": f"""

@@ -90,6 +90,50 @@ def top_types_7d(events: DataFrame, dim_event_type: DataFrame, as_of, approx: bo
     )
 
 
+def _daily_locks(events: DataFrame) -> DataFrame:
+    """Each lock once per type and day on which it has events."""
+    timed = events.filter(F.col("event_time").isNotNull() & F.col("lock_id").isNotNull())
+    return timed.select("event_type", "lock_id", F.to_date("event_time").alias("day")).distinct()
+
+
+def _every_day(rows: DataFrame) -> DataFrame:
+    """event_type and every day from its first to its last."""
+    ends = rows.groupBy("event_type").agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    return ends.select("event_type", F.explode(F.sequence("a", "b")).alias("day"))
+
+
+def rolling_affected(events: DataFrame, days: int = 7) -> DataFrame:
+    """For every day and type, the locks with an event on it or the ``days`` - 1 days before, exactly.
+
+    A lock counts from a day with events until ``days`` later or until its next such day, which takes over. So it
+    is one step up and one down per day with events, and totals run over the days' sums: events are read
+    once however long the window is, and no day is listed with the locks of others.
+    """
+    daily = _daily_locks(events)
+    after = F.lead("day").over(Window.partitionBy("event_type", "lock_id").orderBy("day"))
+    gone = F.least(F.coalesce(after, F.date_add("day", days)), F.date_add("day", days))
+    ends = F.array(F.struct(F.col("day"), F.lit(1).alias("step")), F.struct(gone.alias("day"), F.lit(-1).alias("step")))
+    steps = daily.withColumn("_ends", ends).select("event_type", F.inline("_ends")).groupBy("event_type", "day").agg(F.sum("step").alias("step"))
+    lane = Window.partitionBy("event_type").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = _every_day(daily).join(steps, ["event_type", "day"], "left")  # days without steps carry the total on
+    return summed.select("event_type", "day", F.sum(F.coalesce("step", F.lit(0))).over(lane).alias("affected_locks"))
+
+
+def lock_sketches(events: DataFrame, lg_k: int = 12) -> DataFrame:
+    """Per type and day a sketch of the locks with events, to be stored and merged over any days later."""
+    timed = events.filter(F.col("event_time").isNotNull() & F.col("lock_id").isNotNull())
+    return timed.groupBy("event_type", F.to_date("event_time").alias("day")).agg(F.hll_sketch_agg("lock_id", lg_k).alias("locks"))
+
+
+def rolling_affected_approx(sketches: DataFrame, days: int = 7) -> DataFrame:
+    """``rolling_affected`` from stored sketches; their relative error is about 1.04 / sqrt(2^lg_k), 1.6 % by default."""
+    reach = F.sequence("day", F.date_add("day", days - 1))
+    spread = sketches.select("event_type", F.explode(reach).alias("day"), "locks")
+    merged = spread.groupBy("event_type", "day").agg(F.hll_union_agg("locks").alias("locks"))
+    wanted = _every_day(sketches).join(merged, ["event_type", "day"], "left")
+    return wanted.select("event_type", "day", F.coalesce(F.hll_sketch_estimate("locks"), F.lit(0)).alias("affected_locks"))
+
+
 def heatmap(events: DataFrame) -> DataFrame:
     """Counts per hour of day, day of week (Sunday is 0) and severity."""
     return (

@@ -226,6 +226,16 @@ class TestViews:
         )
         return created.unionByName(changed)
 
+    def fences(self) -> DataFrame:
+        """A circle of 1 to 20 km around each supplier."""
+        key = F.col("s_suppkey")
+        return self.raw("supplier").select(
+            key.alias("fence_id"),
+            _coordinate(-34.0, key, 61).alias("latitude"),
+            _coordinate(-60.0, key, 87).alias("longitude"),
+            ((key % 20 + 1) * 1000.0).alias("radius_m"),
+        )
+
     # ---- device readings -------------------------------------------------------------------------
 
     def battery_readings(self) -> DataFrame:
