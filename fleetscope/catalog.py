@@ -769,6 +769,11 @@ def stream_fact_accounting(v):
     return replay.fact_accounting(v)
 
 
+@query
+def stream_fact_retries(v):
+    return replay.fact_retries(v)
+
+
 @query
 def stream_fact_status(v):
     return replay.fact_status_changes(v)

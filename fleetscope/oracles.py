@@ -808,6 +808,12 @@ ORACLES = {
         select 'valid' as verdict, count(*) as row_count from security_events
         union all
         select 'repeated', count(*) from security_events where id::bigint % 20 = 0 having count(*) > 0""",
+    "stream_fact_retries": """
+        select case when known <= greatest(batch, least(batch + 2, 3)) then 'valid'
+                 when batch + 2 <= 3 then 'rejected' else 'waiting' end as verdict, count(*) as row_count
+        from (select e.id::bigint % 4 as batch, coalesce(l.id::bigint % 6, 99) as known
+              from security_events e left join locks l on l.id = e.lock_id)
+        group by verdict""",
     "stream_fact_status": f"""
         select lock_id, action, status, cast(null as varchar) as previous_status, cast(null as double) as latitude,
           cast(null as double) as longitude, shipment_id, change_time, {_day_key("change_time")} as date_key

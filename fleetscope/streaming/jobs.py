@@ -23,7 +23,10 @@ TRIGGERS = {
     "location_update": "60 seconds",
     "shipment_status_change": "15 seconds",
 }
-VALID, REJECTED, REPEATED = "valid", "rejected", "repeated"
+VALID, REJECTED, REPEATED, WAITING = "valid", "rejected", "repeated", "waiting"
+# ---- fixed values: how often a row is tried before it is rejected ---------------------------------
+TRIES = 3
+_ATTEMPTS = "attempts"
 
 
 def start(
@@ -62,6 +65,7 @@ def start_fact_stream(
     checkpoint: str,
     trigger: str | None = None,
     known_locks: Callable[[], DataFrame] | None = None,
+    waiting: BatchTable | None = None,
 ) -> StreamingQuery:
     """Decoded rows of one topic into its fact table; every row gets there, however late it is.
 
@@ -69,17 +73,29 @@ def start_fact_stream(
     verdict ``rejected`` with a reason. A valid event whose id the table has already, or that stands
     twice in its batch, lands there under verdict ``repeated``. So rows in are facts, rejected and
     repeated rows together, and each batch is written in one job.
+
+    With ``waiting``, a row whose lock is unknown is not rejected at once: it goes to that table and is tried
+    again with each of the next batches, against the locks known by then, ``TRIES`` times in all. Each batch
+    writes all that wait after it, so rows in are facts, rejected, repeated and waiting rows at any batch.
     """
     ts = model.EVENT_TIME[record]
     rules = quality.record_rules(record)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = batch.withColumn(quality.REASON, quality.failed_rule(rules))
+        rows = batch
+        if waiting is not None:
+            rows = _with_waiting(batch, batch_id, waiting)
+        judged = rows.withColumn(quality.REASON, quality.failed_rule(rules))
         if known_locks is not None:
             known = known_locks().select(F.col("id").alias("lock_id")).distinct().withColumn("_known", F.lit(True))
             judged = salted_join(judged, known, "lock_id", "left")
-            orphan = F.when(F.col("_known").isNull(), "unknown lock_id")
+            orphan = F.when(F.col("_known").isNull(), UNKNOWN_LOCK)
             judged = judged.withColumn(quality.REASON, F.coalesce(quality.REASON, orphan)).drop("_known")
+        if waiting is not None:
+            judged = judged.persist()
+            again = F.coalesce((F.col(quality.REASON) == UNKNOWN_LOCK) & (F.col(_ATTEMPTS) < TRIES), F.lit(False))
+            waiting.write(judged.filter(again).select(*batch.columns, _ATTEMPTS), batch_id)
+            judged = judged.filter(~again).drop(_ATTEMPTS)
         verdict = F.when(F.col(quality.REASON).isNull(), VALID).otherwise(REJECTED)
         judged = judged.withColumns({"date_key": date_key(ts), "verdict": verdict})
         if record == "security_event":
@@ -91,6 +107,24 @@ def start_fact_stream(
     return start(stream, _kept(write) if kept else write, checkpoint, trigger)
 
 
+UNKNOWN_LOCK = "unknown lock_id"
+
+
+def _with_waiting(batch: DataFrame, batch_id: int, waiting: BatchTable) -> DataFrame:
+    """The batch, first tries, and the rows that waited after the batch before, tried once more."""
+    fresh = batch.withColumn(_ATTEMPTS, F.lit(1))
+    if not batch_id:
+        return fresh
+    held = batch.sparkSession.read.schema(fresh.schema).parquet(f"{waiting.path}/batch_id={batch_id - 1}")
+    return fresh.unionByName(held.withColumn(_ATTEMPTS, F.col(_ATTEMPTS) + 1))
+
+
+def still_waiting(waiting: BatchTable, stream: DataFrame, last_batch: int) -> DataFrame:
+    """The rows that wait after that batch, with their attempts so far."""
+    schema = stream.withColumn(_ATTEMPTS, F.lit(1)).schema
+    return stream.sparkSession.read.schema(schema).parquet(f"{waiting.path}/batch_id={last_batch}")
+
+
 _STORED = "event_id string, batch_id int, verdict string, date_key int"
 
 

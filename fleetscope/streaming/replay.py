@@ -74,6 +74,25 @@ def fact_accounting(v: TestViews) -> DataFrame:
     return jobs.accounting(sink.read(v.spark))
 
 
+def fact_retries(v: TestViews) -> DataFrame:
+    """Rows by verdict when events come in four batches and a sixth of the locks is known by each more of them."""
+    events = v.security_events().withColumnRenamed("id", "event_id")
+    root = shared_dir(v.spark, "retries")
+    sink, waiting, source = BatchTable(f"{root}/table"), BatchTable(f"{root}/waiting"), f"{root}/delivered"
+    number = lambda c: F.col(c).cast("bigint")
+    for n in range(4):
+        events.filter(F.pmod(number("event_id"), F.lit(4)) == n).write.mode("append").parquet(source)
+        stream = v.spark.readStream.schema(events.schema).parquet(source)
+        known = v.locks().filter(F.pmod(number("id"), F.lit(6)) <= n)
+        job = jobs.start_fact_stream(
+            stream, "security_event", sink, f"{root}/checkpoint", known_locks=lambda known=known: known, waiting=waiting
+        )
+        job.awaitTermination()
+    left = jobs.still_waiting(waiting, events, 3).agg(F.count("*").alias("row_count"))
+    left = left.select(F.lit(jobs.WAITING).alias("verdict"), "row_count").filter(F.col("row_count") > 0)
+    return jobs.accounting(sink.read(v.spark)).unionByName(left)
+
+
 def fact_status_changes(v: TestViews) -> DataFrame:
     suppliers = F.lit(v.raw("supplier").count())  # streaming plans take no scalar subquery
     rows = v.as_status_changes(_stream(v, "events"), suppliers)

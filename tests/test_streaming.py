@@ -64,6 +64,31 @@ def test_facts_reject_and_deduplicate(spark, tmp_path):
     assert dead == {"3": "unknown event_type", "4": "unknown lock_id", "6": "missing lock_id"}
 
 
+def test_rows_of_unknown_locks_are_tried_again(spark, tmp_path):
+    feed = Feed(spark, tmp_path, "security_event")
+    feed.add([event(1, 0), event(2, 0, lock="late"), event(3, 0, lock="never"), event(4, 0, kind="unheard_of", lock="never")])
+    feed.add([event(2, 0, lock="late"), event(5, 10, lock="later")])  # 2 is delivered again while it waits
+    feed.add([event(6, 20)])
+    feed.add([event(7, 30, lock="never")])
+    known = iter([["a"], ["a"], ["a", "late"], ["a", "late", "later"]])
+    load = lambda: spark.createDataFrame([(x,) for x in next(known)], "id string")
+    sink, waiting = BatchTable(str(tmp_path / "facts")), BatchTable(str(tmp_path / "waiting"))
+    finish(jobs.start_fact_stream(feed.stream(), "security_event", sink, str(tmp_path / "c"), known_locks=load, waiting=waiting))
+    table = sink.read(spark)
+    got = sorted((r["event_id"], r["verdict"], r["batch_id"]) for r in table.collect())
+    assert got == [
+        ("1", "valid", 0),
+        ("2", "repeated", 2),
+        ("2", "valid", 2),
+        ("3", "rejected", 2),  # after three tries
+        ("4", "rejected", 0),  # breaks a rule, waiting would not help
+        ("5", "valid", 3),
+        ("6", "valid", 2),
+    ]
+    left = jobs.still_waiting(waiting, table.drop("batch_id", "verdict", "reason", "date_key"), 3)
+    assert [(r["event_id"], r["attempts"]) for r in left.collect()] == [("7", 1)]
+
+
 def test_facts_resume_from_checkpoint(spark, tmp_path):
     feed = Feed(spark, tmp_path, "location_update")
     sink = BatchTable(str(tmp_path / "facts"))
