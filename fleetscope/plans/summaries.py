@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope import model
@@ -88,13 +88,14 @@ def _per_day(spans: DataFrame, start: str, end) -> DataFrame:
     return spans.withColumns({"from": F.greatest(F.col(start), F.col("day")), "to": until}).drop("_end")
 
 
-_ONE_DAY = F.expr("INTERVAL 1 DAY")
+def _one_day() -> Column:
+    return F.expr("INTERVAL 1 DAY")
 
 
 def _whole_days(spans: DataFrame) -> DataFrame:
     """Of each span the whole days in it, as one span; none if there are none."""
     low, high = F.date_trunc("day", "from"), F.date_trunc("day", "to")
-    low = F.when(F.col("from") == low, low).otherwise(low + _ONE_DAY)
+    low = F.when(F.col("from") == low, low).otherwise(low + _one_day())
     return spans.withColumns({"from": low, "to": high}).filter(F.col("from") < F.col("to"))
 
 
@@ -102,7 +103,7 @@ def _part_days(spans: DataFrame) -> DataFrame:
     """Of each span what lies before and after its whole days: two pieces at most, each within a day."""
     low, high = F.date_trunc("day", "from"), F.date_trunc("day", "to")
     piece = lambda start, end: F.struct(start.alias("from"), end.alias("to"))
-    head = F.when((F.col("from") > low) | (low == high), piece(F.col("from"), F.least("to", low + _ONE_DAY)))
+    head = F.when((F.col("from") > low) | (low == high), piece(F.col("from"), F.least("to", low + _one_day())))
     tail = F.when((F.col("to") > high) & (high > low), piece(high, F.col("to")))
     others = [c for c in spans.columns if c not in ("from", "to")]
     return spans.select(*others, F.explode(F.array_compact(F.array(head, tail))).alias("_piece")).select(*others, "_piece.*")
@@ -117,7 +118,7 @@ def _locks_per_day(spans: DataFrame) -> DataFrame:
     """
     ends = F.array(
         F.struct(F.date_trunc("day", "from").alias("day"), F.lit(1).alias("step")),
-        F.struct((F.date_trunc("day", F.col("to") - F.expr("INTERVAL 1 MICROSECOND")) + _ONE_DAY).alias("day"), F.lit(-1).alias("step")),
+        F.struct((F.date_trunc("day", F.col("to") - F.expr("INTERVAL 1 MICROSECOND")) + _one_day()).alias("day"), F.lit(-1).alias("step")),
     )
     pair, shipment = ["shipment_pk", "lock_id"], ["shipment_pk"]
     steps = spans.select(*pair, F.inline(ends)).groupBy(*pair, "day").agg(F.sum("step").alias("step"))
@@ -127,7 +128,7 @@ def _locks_per_day(spans: DataFrame) -> DataFrame:
     turns = held.groupBy(*shipment, "day").agg(F.sum(change).alias("step")).filter(F.col("step") != 0)
     lane = Window.partitionBy(*shipment).orderBy("day")
     levels = turns.select(*shipment, "day", F.sum("step").over(lane).alias("total_locks"), F.lead("day").over(lane).alias("until"))
-    days = F.sequence("day", F.col("until") - _ONE_DAY, _ONE_DAY)
+    days = F.sequence("day", F.col("until") - _one_day(), _one_day())
     listed = levels.filter(F.col("total_locks") > 0).select(*shipment, "total_locks", F.explode(days).alias("day"))
     return listed.select(date_key("day").alias("date_key"), *shipment, "total_locks")
 

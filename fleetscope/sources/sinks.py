@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from fleetscope import model
 from fleetscope.operators.ordered import latest_per_key
 from fleetscope.sources.tables import Database, Lake
+from fleetscope.sources.versions import Version, VersionedTable
 
 
 def write_table(
@@ -104,6 +107,68 @@ class BatchTable:
         return df.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
+@dataclass(frozen=True)
+class BatchLog:
+    """A ``BatchTable`` whose batches are merged as they grow old, so that very many leave few folders.
+
+    Batches are the parts of a versioned table. ``fan`` parts of a level become one of the next; after n
+    batches there are at most ``fan`` parts on each of about log n levels. Each step is a version of its own:
+    readers see a batch whole or not at all, and a reader of one of the last ``keep`` versions goes on undisturbed
+    while its parts are merged. A batch that is run again replaces itself, or is left out where it has been
+    merged already, which is after it was committed. ``batch_id`` is a column of the rows.
+    """
+
+    path: str
+    fan: int = 10
+    keep: int = 10
+
+    def write(self, df: DataFrame, batch_id: int, partition_by: list[str] | None = None) -> None:
+        spark, table = df.sparkSession, VersionedTable(self.path)
+        base, name = table.version(spark), _part_name(0, batch_id, batch_id)
+        if base.batch is not None and batch_id <= base.batch and name not in base.parts:
+            return
+        rows = df.withColumn("batch_id", F.lit(batch_id))
+        version = table.commit(spark, base, {name: self._store(rows, partition_by)}, max(batch_id, base.batch or 0))
+        for level in range(64):
+            own = sorted(p for p in version.parts if int(p.split("-")[0]) == level)
+            if len(own) < self.fan:
+                break
+            merged = _part_name(level + 1, int(own[0].split("-")[1]), int(own[-1].split("-")[2]))
+            folder = self._store(self._rows(spark, version, own), partition_by)
+            version = table.commit(spark, version, dict.fromkeys(own) | {merged: folder})
+            table.vacuum(spark, self.keep)
+
+    def _store(self, rows: DataFrame, partition_by: list[str] | None) -> str:
+        folder = f"{self.path}/files/{uuid.uuid4().hex}/rows"
+        writer = rows.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(folder)
+        return folder
+
+    def _rows(self, spark: SparkSession, version: Version, parts: list[str], schema: str | None = None) -> DataFrame:
+        reader = spark.read.schema(schema) if schema else spark.read
+        # one read per part, as each has its own partition folders; parts are few
+        return reduce(DataFrame.unionByName, [reader.parquet(version.parts[p]) for p in parts])
+
+    def read(self, spark: SparkSession, batches: list[int] | None = None) -> DataFrame:
+        version = VersionedTable(self.path).version(spark)
+        rows = self._rows(spark, version, list(version.parts))
+        return rows if batches is None else rows.filter(F.col("batch_id").isin(batches))
+
+    def earlier(self, spark: SparkSession, batch_id: int, schema: str) -> DataFrame | None:
+        """What the batches before this one have written, also when this one is run again."""
+        version = VersionedTable(self.path).version(spark)
+        parts = [p for p in version.parts if int(p.split("-")[1]) < batch_id]
+        return self._rows(spark, version, parts, schema).filter(F.col("batch_id") < batch_id) if parts else None
+
+    latest = BatchTable.latest
+
+
+def _part_name(level: int, first: int, last: int) -> str:
+    return f"{level:02d}-{first:012d}-{last:012d}"
+
+
 @dataclass(frozen=True)
 class CarriedRows:
     """One row per key carried from micro-batch to micro-batch.

@@ -1,5 +1,9 @@
 """Every registered query against its SQL text in DuckDB, plain and with all busy locks cut into segments."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import duck, duck_rows, spark_rows
 
@@ -22,9 +26,12 @@ ORDERED = [
     "fk_orphans",
     "fk_valid_events",
     "geo_heatmap",
+    "geofence_table",
     "incident_bursts",
+    "incident_sessions",
     "previous_status",
     "running_totals",
+    "scd2_incremental",
     "scd2_lock",
     "scd2_shipment",
     "sliding_3",
@@ -62,3 +69,9 @@ def test_entry(spark):
 
     df = __spark_entry__.entry(spark)
     assert "health_label" in df.columns and df.count() == 10
+
+
+def test_the_entry_imports_without_a_session():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

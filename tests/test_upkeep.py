@@ -1,5 +1,6 @@
 """Versioned tables, and views, histories and dimensions kept up from change batches."""
 
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import asof, dims
 from fleetscope.plans import health, trends, upkeep
+from fleetscope.sources.sinks import BatchLog
 from fleetscope.sources.versions import Conflict, VersionedTable, bucket
+from fleetscope.streaming import jobs
 
 T0 = datetime(2024, 1, 1)
 
@@ -50,6 +53,37 @@ def test_two_writers_do_not_lose_each_other(spark, tmp_path):
     assert table.version(spark).parts == {"a": "x"}
 
 
+def test_many_batches_leave_few_folders(spark, tmp_path):
+    log = BatchLog(str(tmp_path / "log"), fan=3, keep=6)
+    for n in range(29):
+        log.write(spark.range(n, n + 1, 1, 1), n)
+        if n == 16:
+            reader = log.read(spark)
+        if n == 17:
+            assert rows_of(reader.select("id")) == sorted(((i,) for i in range(17)), key=repr)  # while parts were merged
+    log.write(spark.range(100, 101, 1, 1), 28)  # run again: it replaces itself
+    log.write(spark.range(100, 101, 1, 1), 5)  # merged long ago: left out
+    assert sorted(r["id"] for r in log.read(spark).collect()) == [*range(28), 100]
+    version = VersionedTable(log.path).version(spark)
+    assert len(version.parts) <= 8 and len(os.listdir(tmp_path / "log" / "versions")) < 30
+    assert {r["batch_id"] for r in log.earlier(spark, 9, "id bigint, batch_id int").collect()} == set(range(9))
+
+
+def test_facts_into_a_log_of_batches(spark, tmp_path):
+    schema = "event_id string, lock_id string, event_type string, severity string, event_time timestamp"
+    source = str(tmp_path / "in")
+    log = BatchLog(str(tmp_path / "facts"), fan=2)
+    for n in range(5):
+        ids = [n, n + 1]  # each event but the first and last comes twice
+        rows = [(str(i), "a", "battery_low", "low", at(100_000 * i)) for i in ids]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.start_fact_stream(stream, "security_event", log, str(tmp_path / "c")).awaitTermination()
+    counts = {r["verdict"]: r["row_count"] for r in jobs.accounting(log.read(spark)).collect()}
+    assert counts == {jobs.VALID: 6, jobs.REPEATED: 4}
+    assert len(VersionedTable(log.path).version(spark).parts) <= 3
+
+
 # ---- views -----------------------------------------------------------------------------------------
 
 
