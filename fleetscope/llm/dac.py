@@ -154,7 +154,8 @@ class WordEncoder:
         parts = json.loads(vocabulary)
         # a name that is no special token's is found in either case
         added = [t["content"].lower().encode() for t in parts.get("added_tokens", []) if not (names_are_text and t["special"])]
-        self.named = re.compile(b"|".join(map(re.escape, added))).search if added else lambda _: None
+        search, lead = re.compile(b"|".join(map(re.escape, added))).search, os.path.commonprefix(added)
+        self.named = lambda t: bool(added) and lead in t and search(t) is not None
         kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
         known = kinds == ["NFC", "Replace", "Lowercase"] and split
@@ -192,14 +193,15 @@ class WordEncoder:
                 for key in list(memo)[MEMO_ENTRIES // 2 :]:  # frequent words come early and stay
                     del memo[key]
         lowered = [(t or b"").lower() for t in texts]
-        split = [[] if self.named(t) else t.split() for t in lowered]
+        named = [self.named(t) for t in lowered]
+        split = [[] if by_library else t.split() for t, by_library in zip(lowered, named)]
         new = list(set().union(*split).difference(self.words))
         for at in range(0, len(new), 10_000):
             self._learn(new[at : at + 10_000])
         last = struct.pack("<I", end)
         coded = [np.frombuffer(b"".join([*map(self.words.__getitem__, ws), last]), "<u4") for ws in split]
-        for i, text in enumerate(lowered):
-            if self.named(text):
+        for i, by_library in enumerate(named):
+            if by_library:
                 ids = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids
                 coded[i] = np.array([*ids, end], "<u4")
         return coded
