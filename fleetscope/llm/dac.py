@@ -207,6 +207,18 @@ class WordEncoder:
         return coded
 
 
+_ENCODERS: dict[tuple[int, bool], WordEncoder] = {}
+
+
+def encoder_for(vocabulary: str, names_are_text: bool) -> WordEncoder:
+    """The encoder of this process, which goes on with the words that earlier tasks have learnt."""
+    name = (hash(vocabulary), names_are_text)
+    if name not in _ENCODERS:
+        _ENCODERS.clear()  # one at a time, so that memory stays that of one memo
+        _ENCODERS[name] = WordEncoder(vocabulary, names_are_text)
+    return _ENCODERS[name]
+
+
 # ---- files ---------------------------------------------------------------------------------------
 
 
@@ -222,7 +234,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int = 1, names_are_t
     tokens = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        encoder = WordEncoder(tokens.value, names_are_text)
+        encoder = encoder_for(tokens.value, names_are_text)
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
         ids, doc_ids, starts, size = [], [], [], 0
 
