@@ -92,7 +92,7 @@ def test_verdicts_agree_with_labels(spark, sf_dir):
 def test_threshold_is_the_trusted_tail(spark):
     rows = [(i, prose(i, 60, 200)) for i in range(400)]
     docs, trusted = frame(spark, rows), spark.createDataFrame([(i, i % 2 == 0) for i in range(400)], "doc_id long, fits boolean")
-    ratios = quality.log_ratios(docs, trusted).localCheckpoint()
+    ratios = quality.log_ratios(docs, trusted).cache()
     scores = sorted(s for (d, _), s in zip(rows, brute_scores(rows, set(range(0, 400, 2)))) if d % 2)
     tail = scores[0] + (scores[1] - scores[0]) * quality.TAIL * (len(scores) - 1)
     assert abs(quality.threshold(docs, trusted, ratios).first()[0] - min(tail, 0)) < 1e-9
