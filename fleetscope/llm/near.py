@@ -10,9 +10,11 @@ Documents that agree in a whole band of coordinates share a bucket. Links are co
 Within a bucket pairs are not listed: members are compared with one member as centre, components are
 merged, and only buckets that still hold several components go on with four, then sixteen, and so on,
 until all members have been centres. From the second centre on a pair is compared only if the sketches
-agree well enough, by one bit of each coordinate; so documents that have no more than a passage in common
-may share buckets without being compared in all pairs. Every pair that shares a bucket is thus compared,
-connected already, or unlike by its sketches, and large groups cost about one comparison for each member.
+agree well enough, by one bit of each coordinate, and if the parities of the sets allow a link: each of
+``PARITIES`` classes of shingles has one bit, whether the set holds an odd number of them, and two sets
+differ in at least as many shingles as in bits. So documents that have a passage in common, or are alike
+but not enough, may share buckets without being compared in full. Every pair that shares a bucket is thus
+compared, connected already, or unlike, and large groups cost about one comparison for each member.
 
 Exact copies are one node, told apart from other texts by 64 bits of hash. Components are found by
 passing the least label along links and jumping along labels; links and labels stay in tables of the
@@ -36,7 +38,9 @@ from fleetscope.llm.tables import stored
 ROWS, BANDS = 6, 42  # a link of similarity 0.8 shares no band once in 340,000 times
 COORDINATES = ROWS * BANDS
 UNLIKE = 54  # bits in which sketches may differ; a link of 0.8 differs in 25, in more than 54 once in 4 * 10**7 times
+PARITIES = 1024
 _SIGNS = [f"s{i}" for i in range(-(-COORDINATES // 64))]
+_ODD = [f"p{i}" for i in range(PARITIES // 64)]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
 
@@ -86,8 +90,19 @@ def signs(table: np.ndarray) -> np.ndarray:
     return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64)
 
 
+def parities(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """``PARITIES`` bits of each set: whether it holds an odd number of the shingles of a class. What two sets
+    have in common cancels out, so bits that differ are never more than shingles that only one of them has."""
+    n = len(bounds) - 1
+    place = (words.mix(flat ^ _U(PARITIES)) >> _U(32)) % _U(PARITIES)
+    at = np.repeat(np.arange(n) * PARITIES, np.diff(bounds)) + place.astype(np.int64)
+    odd = np.bincount(at, minlength=n * PARITIES).reshape(n, PARITIES) & 1
+    return np.packbits(odd.astype(bool), axis=1).view(np.int64)
+
+
 def _sketched(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, key, n_shingles, bands and signs; of equal texts in a batch only the first has the last two."""
+    """doc_id, key, n_shingles, bands and bits (signs and parities); of equal texts in a batch only the first
+    has the last two."""
     words.use_batches(docs.sparkSession)
 
     def run(batches):
@@ -102,15 +117,15 @@ def _sketched(docs: DataFrame, k: int) -> DataFrame:
                 member = np.repeat(first, n)
                 own = np.concatenate((np.zeros(1, np.int64), np.cumsum(n[full])))
                 table = sketches(flat[member], own)
-                found, bits = bands(table), signs(table)
+                found, bits = bands(table), np.hstack((signs(table), parities(flat[member], own)))
                 at = np.zeros(len(keys) + 1, dtype=np.int64)
                 at[1:][full] = BANDS
                 columns = [batch.column("doc_id"), batch.column("key"), pa.array(n)]
                 columns.append(words.list_of(found.ravel(), np.cumsum(at), pa.int64()))
                 columns.append(words.list_of(bits.ravel(), np.cumsum(at // BANDS * bits.shape[1]), pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "bands", "signs"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "bands", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, key long, n long, bands array<long>, signs array<long>")
+    return docs.mapInArrow(run, "doc_id long, key long, n long, bands array<long>, bits array<long>")
 
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:
@@ -156,13 +171,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b), a below b, of members and centres of one bucket in different components whose
-    sizes, and signs where they are there, allow a link."""
-    renamed = {"key": "k2", "n": "n2", "component": "c2"} | {s: f"{s}_2" for s in _SIGNS}
+    sizes, and signs and parities where they are there, allow a link."""
+    renamed = {"key": "k2", "n": "n2", "component": "c2"} | {s: f"{s}_2" for s in _SIGNS + _ODD}
     centres = centres.withColumnsRenamed(renamed)
     fits = (F.col("component") != F.col("c2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     if _SIGNS[0] in members.columns:
-        apart = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_2"))) for s in _SIGNS), F.lit(0))
-        fits &= apart <= UNLIKE
+        apart = [sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_2"))) for s in b), F.lit(0)) for b in (_SIGNS, _ODD)]
+        fits &= (apart[0] <= UNLIKE) & ((100 + percent) * apart[1] <= (100 - percent) * (F.col("n") + F.col("n2")))
     met = members.join(centres, "band").where(fits)
     return met.select(F.least("key", "k2").alias("a"), F.greatest("key", "k2").alias("b")).distinct()
 
@@ -209,11 +224,11 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         if not found.isEmpty():
             links = links.union(found)
             named = components(links)
-        # a bucket that is closed stays closed; what is still open goes on with the signs of its members
+        # a bucket that is closed stays closed; what is still open goes on with the bits of its members
         members = labelled.drop("members", "first", "component")
         if not upto:
-            bits = [F.col("signs")[i].alias(s) for i, s in enumerate(_SIGNS)]
-            known = rows.where(F.size("signs") > 0).select("key", *bits).dropDuplicates(["key"])
+            bits = [F.col("bits")[i].alias(s) for i, s in enumerate(_SIGNS + _ODD)]
+            known = rows.where(F.size("bits") > 0).select("key", *bits).dropDuplicates(["key"])
             members = members.join(known, "key")
         before, upto = upto, max(4, upto * 4)
     component = F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("component")

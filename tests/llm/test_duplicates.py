@@ -73,6 +73,34 @@ def test_sketch_fills_all_coordinates_and_estimates():
     assert not (table[0] == table[2]).any()
 
 
+def test_parities_never_differ_in_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**63, 6000, dtype=np.uint64)
+    sets = [rng.choice(pool[: 200 * 2**i], size, replace=False) for i in range(5) for size in (0, 1, 90, 150)]
+    sets += [pool[:147], pool[16:163], pool[:5000], pool[1000:6000]]
+    bits = near.parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2):
+        apart = sum(int(x).bit_count() for x in (bits[i] ^ bits[j]).view(np.uint64))
+        assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert i >= 20 or (apart == 0) == (set(a.tolist()) == set(b.tolist()))
+    assert sum(int(x).bit_count() for x in (bits[20] ^ bits[21]).view(np.uint64)) >= 28  # of 32
+
+
+@pytest.mark.parametrize("edits", [8, 12])
+def test_copies_of_one_text_that_are_hardly_alike(spark, edits):
+    """Copies of one text that link with it or not, and hardly ever with each other."""
+    rng = random.Random(edits)
+    base = prose(31, 150).split()
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for at in rng.sample(range(150), edits + i % 3):
+            text[at] = rng.choice(base)
+        rows.append((i, " ".join(text)))
+    got = near.with_least_id(near.classes(frame(spark, rows), k=2))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(rows, 2)
+
+
 def test_one_of_each_group_stays(spark):
     docs = frame(spark)
     kept = near.deduplicate(docs)
