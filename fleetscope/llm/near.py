@@ -8,7 +8,7 @@ coordinates estimate the similarity as closely as independent ones would.
 
 Documents that agree in a whole band of coordinates share a bucket. Links are confirmed on the full sets.
 Within a bucket pairs are not listed: members are compared with one member as centre, components are
-merged, and only buckets that still hold several components go on with four, then sixteen, and so on,
+merged, and only buckets that still hold several components go on with sixteen, then 256, and so on,
 until all members have been centres. From the second centre on a pair is compared only if the sketches
 agree well enough, by one bit of each coordinate, and if the parities of the sets allow a link: each of
 ``PARITIES`` classes of shingles has one bit, whether the set holds an odd number of them, and two sets
@@ -230,7 +230,7 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             bits = [F.col("bits")[i].alias(s) for i, s in enumerate(_SIGNS + _ODD)]
             known = rows.where(F.size("bits") > 0).select("key", *bits).dropDuplicates(["key"])
             members = members.join(known, "key")
-        before, upto = upto, max(4, upto * 4)
+        before, upto = upto, max(16, upto * 16)
     component = F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("component")
     return rows.join(named, "key", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), component)
 
