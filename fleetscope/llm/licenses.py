@@ -2,9 +2,10 @@
 
 Every document gives the hashes of all its rolling k-grams, of ``PHRASE_K`` words for short phrases and
 of ``TEXT_K`` words for longer license texts. Spark joins them to the positions of the templates; a match
-votes for the diagonal, the document's position less the template's. Votes are summed by diagonal,
-neighbouring diagonals of a template are merged, as words that were put in or left out shift what follows,
-and a merged span is verified by the share of the template's positions that voted and by its length.
+votes for the diagonal, the document's position less the template's. Votes are summed by diagonal, and
+neighbouring diagonals of a template are merged, as words that were put in or left out shift what follows:
+each goes to the one with most votes that is at most ``NEIGHBOURS`` away, so that a span is never much
+longer than its template. It is verified by the share of the template's different positions that voted.
 A phrase stands at a place only if all its positions vote for one diagonal.
 
 The templates are a fixed list, so their table of a few hundred rows is broadcast; of the documents only
@@ -27,9 +28,8 @@ from pyspark.sql import functions as F
 from fleetscope.llm import words
 
 PHRASE_K, TEXT_K = 2, 4
-NEIGHBOURS = 8  # diagonals apart that still belong together
+NEIGHBOURS = 8  # a diagonal is merged with a stronger one that is no further away
 COVERED = 0.5  # of a text's positions that have to vote
-STRETCH = 1.5  # times the template's length that a span may have
 _PRESENT = 0  # stands for the document itself among its hashes
 
 
@@ -145,20 +145,19 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + TEXTS, tex
     votes = grams.join(F.broadcast(positions), "h").withColumn("place", place)
     votes = votes.withColumn("diagonal", F.col("place") - F.col("at"))
     lines = votes.groupBy("doc_id", "row", "n_words", "template", "phrase", "label", "k", "size", "diagonal").agg(
-        F.count("*").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last")
+        F.collect_list("at").alias("voters"), F.min("place").alias("first"), F.max("place").alias("last")
     )
-    # a phrase's diagonals stay apart; those of a text merge with their neighbours
-    by_place = Window.partitionBy("row", "doc_id", "template").orderBy("diagonal")
-    gap = F.col("diagonal") - F.lag("diagonal").over(by_place)
-    begins = F.when(F.col("phrase") | gap.isNull() | (gap > NEIGHBOURS), 1).otherwise(0)
-    lines = lines.withColumn("__begins", begins).withColumn("line", F.sum("__begins").over(by_place))
+    # a phrase's diagonals stay apart; those of a text go to the strongest one nearby, of equal ones the first
+    around = Window.partitionBy("row", "doc_id", "template").orderBy("diagonal").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
+    strongest = F.max(F.struct(F.size("voters").alias("votes"), (-F.col("diagonal")).alias("to"))).over(around)
+    lines = lines.withColumn("line", F.when(F.col("phrase"), F.col("diagonal")).otherwise(-strongest["to"]))
     merged = lines.groupBy("doc_id", "row", "n_words", "template", "phrase", "label", "k", "size", "line").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("start"), (F.max("last") + F.first("k")).alias("end")
+        F.size(F.array_distinct(F.flatten(F.collect_list("voters")))).alias("votes"),
+        F.min("first").alias("start"),
+        (F.max("last") + F.col("k")).alias("end"),
     )
-    coverage = F.least(F.col("votes") / F.col("size"), F.lit(1.0))
-    length = F.col("size") + F.col("k") - 1
-    fits = (coverage >= COVERED) & (F.col("end") - F.col("start") <= STRETCH * length)
-    verified = F.when(F.col("phrase"), F.col("votes") == F.col("size")).otherwise(fits)
+    coverage = F.col("votes") / F.col("size")
+    verified = F.when(F.col("phrase"), F.col("votes") == F.col("size")).otherwise(coverage >= COVERED)
     span = F.struct("start", "end", "label", coverage.alias("coverage"), verified.alias("verified"), "phrase")
     real = F.when((F.col("template") >= 0) & (verified | ~F.col("phrase")), span)
     listed = merged.groupBy("doc_id", "row", "n_words").agg(F.sort_array(F.collect_list(real)).alias("spans"))

@@ -231,6 +231,56 @@ def test_phrases_and_texts_are_found(spark, tmp_path):
     assert [s["label"] for s in spans if s["verified"]] == ["bsd", "bsd"]
 
 
+def brute_lines(text):
+    """(start, end, label, coverage, verified) of license texts, from all pairs of words in text and template."""
+    import re
+
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+    w, k, out = split(text), licenses.TEXT_K, []
+    for template in licenses.TEXTS:
+        t = split(template.text)
+        size = len(t) - k + 1
+        lines: dict[int, list[int]] = {}
+        for place in range(len(w) - k + 1):
+            for at in range(size):
+                if w[place : place + k] == t[at : at + k]:
+                    lines.setdefault(place - at, []).append(at)
+        merged: dict[int, list[int]] = {}
+        for d in lines:
+            near = [x for x in lines if abs(x - d) <= licenses.NEIGHBOURS]
+            merged.setdefault(min(near, key=lambda x: (-len(lines[x]), x)), []).append(d)
+        for own in merged.values():
+            share = len({at for d in own for at in lines[d]}) / size
+            start, end = min(d + min(lines[d]) for d in own), max(d + max(lines[d]) for d in own) + k
+            out.append((start, end, template.label, round(share, 9), share >= licenses.COVERED))
+    return sorted(out)
+
+
+def test_license_texts_like_brute_force(spark):
+    again = "the following conditions are met"
+    rng = random.Random(5)
+    rows = [*texts(), (40, NOTICE + f": x y {again}: z w {again}: v"), (41, f"{again} a b {again}: " * 20 + NOTICE), (42, f"{NOTICE} " * 12)]
+    for i in range(40):
+        bits = []
+        for template in rng.choices(licenses.TEXTS, k=4):
+            w = template.text.split()
+            for _ in range(rng.randrange(6)):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(2)] = rng.choice([[], ["new"], w[at : at + 6], rng.choices(w, k=3)])
+            bits += w + prose(i, rng.choice([1, 30])).split()
+        rows.append((50 + i, " ".join(bits)))
+    got = {}
+    for r in licenses.scan(frame(spark, rows)).collect():
+        own = sorted((s["start"], s["end"], s["label"], round(s["coverage"], 9), s["verified"]) for s in r["spans"] if not s["phrase"])
+        got.setdefault(r["doc_id"], []).append(own)
+    expected = {}
+    for d, t in rows:
+        expected.setdefault(d, []).append(brute_lines(t))
+    assert {d: sorted(x) for d, x in got.items()} == {d: sorted(x) for d, x in expected.items()}
+    verified = {d: [s[2] for s in got[d][0] if s[4]] for d in (40, 41, 42)}
+    assert verified == {40: ["bsd"], 41: ["bsd"], 42: ["bsd"] * 12}
+
+
 def test_licenses_of_an_empty_table(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
     assert rows_of(licenses.scan(frame(spark, [(None, None)])), "doc_id", "n_words", "spans") == [(None, 0, [])]
