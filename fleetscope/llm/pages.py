@@ -5,7 +5,8 @@ that are menus, forms, notices, adverts, footers or comments by tag, role or cla
 0; so do lines that are mostly links outside the article. Sums of text length over a sliding window of
 lines rise from zero where a text begins and fall to zero where it ends; what lies between such a surge
 and the next dive is kept if a window in it is full enough. Where the page marks an article or main
-element, only its lines count, and any text is enough; elsewhere a window needs ``SURGE`` characters.
+element, only its lines count, and any text is enough; elsewhere a window needs ``SURGE`` characters, or
+as many as the fullest window of the page if none has so many.
 
 Cases: null or empty html, or a page without main text, gives an empty text; unclosed tags end where
 their parent does, an unclosed container is not removed, an unclosed comment, script or style runs to the
@@ -50,13 +51,18 @@ MARKS = set(
     "pagination popup promo promotion recommended related replies respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget widgets complementary contentinfo".split()
 )
+#: A name that begins or ends with one of these tells what a container has around it, not what it is.
+STATES = {"has", "with", "without", "no", "enabled", "disabled"}
 KEPT_WHOLE = {"html", "body", "article", "main", "b", "i", "p", "h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 def _marked(tag: str, attributes: str) -> bool:
     found: set[str] = set()
     for match in _NAMES.finditer(attributes):
-        found.update(_WORD.findall((match[1] or match[2] or match[3] or "").lower()))
+        for name in (match[1] or match[2] or match[3] or "").lower().split():
+            parts = _WORD.findall(name)
+            if parts and parts[0] not in STATES and parts[-1] not in STATES:
+                found.update(parts)
     if tag in KEPT_WHOLE:  # running text is not judged by its class, but an article can be a comment
         return tag == "article" and bool(found & {"comment", "comments", "reply"})
     return bool(found & MARKS) or "header" in found and tag == "div"
@@ -164,7 +170,7 @@ def main_text(page: str | None) -> str:
         return ""
     length = np.array(counts, dtype=np.int64)
     sums = np.convolve(length, np.ones(WINDOW, dtype=np.int64))[WINDOW - 1 :]  # of a line and the next ones
-    least = 1 if marked else SURGE
+    least = 1 if marked else min(SURGE, int(sums.max()) if len(sums) else 0)
     kept: list[str] = []
     stretch: list[str] = []  # lines since the sums last rose from zero
     peak = 0

@@ -172,6 +172,16 @@ def test_awkward_pages():
     assert len(pages.main_text("<article>" + "<p>x y</p>" * 50_000 + "</article>")) == 50_000 * 5 - 2
 
 
+def test_short_texts_and_names_of_states():
+    long = LONG.strip()
+    assert pages.main_text("<div id=content><h1>Recipe</h1><p>Mix and bake.</p></div>") == "Recipe\n\nMix and bake."
+    for name in ("has-sidebar", "post with-sidebar", "share-enabled", "no-comments"):
+        assert pages.main_text(f"<div class='{name}'><p>{long}</p><p>{long}</p></div>") == f"{long}\n\n{long}"
+    for name in ("sidebar", "post sidebar", "left-sidebar", "has-image comments"):
+        assert pages.main_text(f"<div class='{name}'><p>{long}</p></div><div><p>{long}.</p></div>") == f"{long}."
+    assert pages.main_text("<div class=x>a</div>") == "a" and pages.main_text("<nav>x</nav><div></div>") == ""
+
+
 def test_given_pages_keep_their_articles(spark, sf_dir):
     import html
     import re
