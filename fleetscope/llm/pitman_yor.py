@@ -11,11 +11,11 @@ the customers one after another. Probabilities are averaged over the sweeps afte
 
 On Spark: one shuffle deals all (word, context) counts of all documents, with the documents they come
 from, into parts by word, summed by document and packed by batch. A part is a row of a stored table of
-about ``PART_TOKENS`` tokens. Words too frequent for one part are dealt by word and context; they are a
+about ``PART_TOKENS`` tokens, read one at a time and worked on by blocks of words. Words too frequent for one part are dealt by word and context; they are a
 list of at most ``FREQUENT`` words, found from a sample that affects nothing but the dealing. Sweeps read
 the parts again and again; what passes between them are the tables by context and by frequent word, sums
 bounded by ``CONTEXTS`` and ``FREQUENT``. In the last pass each part adds up, per document, what its
-words contribute.
+words contribute, as one row for each batch of documents.
 
 Cases: a null or empty text is the end token alone; a null id is never held out; repeated rows are
 documents of their own; without training tokens every word is unknown and has the uniform probability
@@ -36,14 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm import words
-from fleetscope.llm.tables import stored
+from fleetscope.llm.tables import ROW_BY_ROW, stored
 
 CONTEXTS = 1 << 15
 PART_TOKENS = 2_000_000
 FREQUENT = 1 << 16
 SAMPLE_DOCS = 2_000  # to find words for the list above
 EXACT = 64
-ENTRIES = 1 << 18  # counts of documents that are added up at a time
+BLOCK_PAIRS = 1 << 18  # pairs of a part that are seated at a time, and those of the word that goes beyond
+CELLS = 1 << 18  # weights of numbers of tables that are held at a time
 BURN_IN, SAMPLES = 2, 2
 # discounts and strengths of the context restaurants and of their parent
 DISCOUNT, STRENGTH = 0.75, 1.0
@@ -96,8 +97,8 @@ class Seating:
         order = np.argsort(np.minimum(customers, EXACT + 1), kind="stable")
         edges = np.searchsorted(customers[order], np.arange(EXACT + 2))
         for c in range(2, EXACT + 1):
-            for at in range(edges[c], edges[c + 1], 1_000_000 // c):
-                rows = order[at : min(at + 1_000_000 // c, edges[c + 1])]
+            for at in range(edges[c], edges[c + 1], CELLS // c):
+                rows = order[at : min(at + CELLS // c, edges[c + 1])]
                 t = np.arange(1, c + 1)
                 weight = self.ways[c, 1 : c + 1] + t * np.log(opens[rows])[:, None]
                 weight = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
@@ -149,11 +150,12 @@ class Model:
 
 
 class Part:
-    """The counts of one part: words, and for each its contexts with their training counts."""
+    """The counts of one part, or of a block of its words: words, and for each its contexts with their training
+    counts."""
 
-    def __init__(self, model: Model, number: int, pairs: bytes):
-        self.model, self.number = model, number
-        self.words, n_contexts, self.context, self.count = pickle.loads(pairs)
+    def __init__(self, model: Model, number: int, pairs: bytes | tuple, block: int = 0):
+        self.model, self.number, self.block = model, number, block
+        self.words, n_contexts, self.context, self.count = pairs if isinstance(pairs, tuple) else pickle.loads(pairs)
         self.word_of = np.repeat(np.arange(len(self.words), dtype=np.int32), n_contexts)
         self.count = self.count.astype(np.int64)
         self.word_counts = np.bincount(self.word_of, self.count, len(self.words)).astype(np.int64)
@@ -170,15 +172,15 @@ class Part:
         """For each sweep so far: tables of each pair, and customers and tables of each word at the parent;
         then the tables of each pair after the last.
 
-        The first state has one table for each pair. Draws follow the part and the sweep, so that a task
-        that runs again comes to the same.
+        The first state has one table for each pair. Draws follow the part, its block and the sweep, so that
+        a task that runs again comes to the same.
         """
         model = self.model
         seats, parent_seats = Seating(DISCOUNT), Seating(PARENT_DISCOUNT)
         tables = np.minimum(self.count, 1)
         customers = self.customers_of(tables)
         for sweep, state in enumerate(model.states):
-            rng = np.random.Generator(np.random.Philox(key=[self.number, sweep]))
+            rng = np.random.Generator(np.random.Philox(key=[self.number, sweep], counter=[0, 0, 0, self.block]))
             weight = (PARENT_STRENGTH + PARENT_DISCOUNT * state.parent_tables) / (model.vocabulary + 1)
             all_customers = customers.copy()
             all_customers[self.frequent] = state.frequent_customers[self.at]
@@ -191,20 +193,18 @@ class Part:
             customers = self.customers_of(tables)
         yield tables, None, None
 
-    def sums(self) -> pd.DataFrame:
-        """What this part adds to the next state, as rows (kind, key, x, y)."""
+    def sums(self) -> tuple[np.ndarray, pd.DataFrame]:
+        """What these words add to the next state: tables and customers by context, and rows (kind, key, x, y)."""
         own_tables = None
         for tables, _, drawn in self.run():
             own_tables = own_tables if drawn is None else drawn
         own = ~self.frequent
-        by_context = [np.bincount(self.context, v, CONTEXTS) for v in (tables, self.count)]
-        used = np.flatnonzero(by_context[1])
-        rows = [pd.DataFrame({"kind": 0, "key": used, "x": by_context[0][used], "y": by_context[1][used]})]
+        by_context = np.array([np.bincount(self.context, v, CONTEXTS) for v in (tables, self.count)])
         theirs = {"x": self.customers_of(tables)[self.frequent], "y": self.word_counts[self.frequent]}
-        rows.append(pd.DataFrame({"kind": 1, "key": self.at} | theirs))
+        rows = [pd.DataFrame({"kind": 1, "key": self.at} | theirs)]
         known = int(((self.word_counts > 0) & own).sum())
         rows.append(pd.DataFrame({"kind": [2, 3], "key": 0, "x": [known, 0 if own_tables is None else int(own_tables[own].sum())], "y": 0}))
-        return pd.concat(rows).astype({"x": float, "y": float})
+        return by_context, pd.concat(rows).astype({"x": float, "y": float})
 
     def log_probabilities(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each pair: log10 of the averaged probability, log10 by the smoothed count, and whether the
@@ -224,6 +224,44 @@ class Part:
         return np.log10(total / SAMPLES), base, counts > 0
 
 
+def blocks(model: Model, number: int, pairs: bytes):
+    """A part as blocks of whole words; words are seated apart, so no more than a block is worked on at a time."""
+    own, n_contexts, context, count = pickle.loads(pairs)
+    ends = np.cumsum(n_contexts, dtype=np.int64)
+    low, begin, block = 0, 0, 0
+    while low < len(own):
+        high = max(low + 1, int(np.searchsorted(ends, begin + BLOCK_PAIRS, side="right")))
+        end = int(ends[high - 1])
+        yield Part(model, number, (own[low:high], n_contexts[low:high], context[begin:end], count[begin:end]), block)
+        low, begin, block = high, end, block + 1
+
+
+def part_sums(model: Model, number: int, pairs: bytes):
+    """What a part adds to the next state, as rows (kind, key, x, y)."""
+    by_context = np.zeros((2, CONTEXTS))
+    for block in blocks(model, number, pairs):
+        theirs, rows = block.sums()
+        by_context += theirs
+        yield rows
+    used = np.flatnonzero(by_context[1])
+    yield pd.DataFrame({"kind": 0, "key": used, "x": by_context[0][used], "y": by_context[1][used]}).astype({"x": float, "y": float})
+
+
+def document_sums(values: list[np.ndarray], entries: tuple[np.ndarray, ...], places: np.ndarray):
+    """(first document, documents from there, tokens and sums of each of ``values`` of pairs) of each load."""
+    firsts, n_pairs, n_docs, at, count = entries
+    pair = np.cumsum(places, dtype=np.int32)
+    low, begin = 0, 0
+    for first, n in zip(firsts.tolist(), n_pairs.tolist()):
+        sizes = n_docs[low : low + n]
+        end = begin + int(sizes.sum(dtype=np.int64))
+        some, times, own = np.repeat(pair[low : low + n], sizes), count[begin:end], at[begin:end]
+        tokens = np.bincount(own, times)
+        held = np.flatnonzero(tokens)
+        yield first, held, [tokens[held]] + [np.bincount(own, times * value[some])[held] for value in values]
+        low, begin = low + n, end
+
+
 # ---- dealing counts into parts -------------------------------------------------------------------
 
 
@@ -280,22 +318,21 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     What is long, the documents' counts, stays in the order of the loads; only the pairs are sorted. Of
     the pairs of a load the distances are kept, as these compress.
     """
-    token, context, size, doc, count, train, known, infos = [], [], [], [], [], [], [], []
-    docs_before = 0
+    token, context, first, n_pairs, size, doc, count, train, infos = [], [], [], [], [], [], [], [], []
     for load in pdf["load"]:
         first_doc, held, own, n_contexts, contexts, n_docs, docs, counts, info = pickle.loads(load)
         token.append(np.repeat(own, n_contexts))
         context.append(contexts)
+        first.append(first_doc)
+        n_pairs.append(len(n_docs))
         size.append(n_docs)
-        doc.append(docs.astype(np.uint32) + np.uint32(docs_before))
+        doc.append(docs)
         count.append(counts)
         train.append(np.add.reduceat(counts * ~held[docs], np.concatenate(([0], np.cumsum(n_docs[:-1], dtype=np.int64)))))
-        known.append(np.arange(len(held)) + first_doc)
-        docs_before += len(held)
         if info:
             infos.append((first_doc, *info))
-    entries = [pickle.dumps((np.concatenate(size), np.concatenate(doc), np.concatenate(count), np.concatenate(known)))]
-    del size, doc, count, known
+    entries = [pickle.dumps((np.array(first), np.array(n_pairs), *map(np.concatenate, (size, doc, count))))]
+    del size, doc, count
     token, context, train = map(np.concatenate, (token, context, train))
     order = np.lexsort((context, token))
     begins = _runs(token[order], context[order])
@@ -331,7 +368,7 @@ def _next_state(parts: DataFrame, model: Model) -> tuple[State, np.ndarray, np.n
     def run(pdfs):
         for pdf in pdfs:
             for number, pairs in zip(pdf["part"], pdf["pairs"]):
-                yield Part(shared.value, int(number), pairs).sums()
+                yield from part_sums(shared.value, int(number), pairs)
 
     rows = parts.select("part", "pairs").mapInPandas(run, "kind int, key long, x double, y double")
     sums = rows.groupBy("kind", "key").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toPandas()
@@ -377,7 +414,7 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
 
     loads = rows.mapInArrow(pack, "part int, load binary")
     merged = loads.groupBy("part").applyInPandas(_merge, "part int, pairs binary, entries binary, places binary, docs binary")
-    parts = stored(merged, "language-model", compression="zstd")
+    parts = stored(merged, "language-model", "zstd", ROW_BY_ROW)
     for sweep in range(BURN_IN + SAMPLES + 1):
         state, customers, counts, known = _next_state(parts, model)
         if sweep == BURN_IN + SAMPLES:
@@ -389,29 +426,33 @@ def score(docs: DataFrame, held_out: str = "pmod(crc32(cast(doc_id as string)),
     shared = spark.sparkContext.broadcast(model)
 
     def judge(batches):
-        names = ["doc", "doc_id", "held", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
             for n in range(batch.num_rows):
                 load = lambda name: pickle.loads(batch.column(name)[n].as_buffer())  # noqa: E731, B023
-                for first_doc, ids, held in load("docs"):
-                    zero, none = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids))
-                    columns = [pa.array(np.arange(len(ids)) + first_doc), pa.array(ids, pa.int64()), pa.array(held)]
-                    yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (zero, zero, none, none))], names)
                 number, pairs = batch.column("part")[n].as_py(), batch.column("pairs")[n].as_buffer()
-                log_p, base, known = Part(shared.value, number, pairs).log_probabilities()
-                n_docs, at, count, docs = load("entries")
-                pair = np.repeat(np.cumsum(load("places"), dtype=np.int32), n_docs)
-                sums = np.zeros((4, len(docs)))
-                for i in range(0, len(pair), ENTRIES):
-                    some, times, own = pair[i : i + ENTRIES], count[i : i + ENTRIES], at[i : i + ENTRIES]
-                    for total, value in zip(sums, (None, known, base, log_p)):
-                        total += np.bincount(own, times if value is None else times * value[some], len(docs))
-                del n_docs, at, count, pair
-                columns = [pa.array(docs), pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.bool_())]
-                columns += [pa.array(s.astype(np.int64)) for s in sums[:2]] + [pa.array(s) for s in sums[2:]]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = "doc long, doc_id long, held boolean, n_tokens long, n_known long, base_score double, score double"
-    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
-    totals = parts.mapInArrow(judge, schema).groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"), *sums)
-    return totals.withColumn("train_tokens", F.lit(model.tokens).cast("long")).drop("doc")
+                found = [(first, -1, pickle.dumps((ids, held))) for first, ids, held in load("docs")]
+                judged = [block.log_probabilities() for block in blocks(shared.value, number, pairs)]
+                log_p, base, known = (np.concatenate(x) for x in zip(*judged))
+                del judged, pairs
+                for first, own, sums in document_sums([known, base, log_p], load("entries"), load("places")):
+                    narrow = [x.astype(np.min_scalar_type(int(x.max()))) for x in (own, *sums[:2])]
+                    found.append((first, number, pickle.dumps((*narrow, *sums[2:]))))
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*found), (pa.int64(), pa.int32(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, ["first", "part", "sums"])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        """The documents of a batch, from what every part found for them, in order of the parts."""
+        table = table.sort_by("part")
+        loads = map(pickle.loads, (x.as_buffer() for x in table.column("sums")))
+        ids, held = next(loads)
+        totals = np.zeros((4, len(ids)))
+        for own, *sums in loads:
+            for total, x in zip(totals, sums):
+                total[own] += x
+        columns = [pa.array(ids, pa.int64()), pa.array(held), *(pa.array(t.astype(np.int64)) for t in totals[:2])]
+        columns += [pa.array(np.full(len(ids), model_tokens)), *map(pa.array, totals[2:])]
+        return pa.table(columns, names=[c.split()[0] for c in schema.split(", ")])
+
+    model_tokens = model.tokens
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return parts.mapInArrow(judge, "first long, part int, sums binary").groupBy("first").applyInArrow(add_up, schema)

@@ -7,10 +7,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from messy import frame, prose, rows_of, texts, words_of
 
-from fleetscope.llm import kdtree, pitman_yor, queries
+from fleetscope.llm import kdtree, pitman_yor, queries, tables
 
 # ---- top-k ---------------------------------------------------------------------------------------
 
@@ -101,6 +102,39 @@ def test_many_parts_and_frequent_words_change_nothing_but_the_draws(spark, monke
     assert rows_of(some, "doc_id", "score") == rows_of(again, "doc_id", "score")
 
 
+def test_a_part_is_seated_and_summed_by_blocks(spark, monkeypatch):
+    rows = [(i, prose(i, 150, 400)) for i in range(100)]
+    whole = pitman_yor.score(frame(spark, rows))
+    likely = sum(r["score"] for r in whole.collect())
+    monkeypatch.setattr(pitman_yor, "BLOCK_PAIRS", 300)
+    some = pitman_yor.score(frame(spark, rows))
+    assert checked(some) == brute_base(rows)
+    assert abs(sum(r["score"] for r in some.collect()) / likely - 1) < 0.01  # other draws of the same
+    n = np.arange(1, 1001)
+    load = (n.astype(np.uint64), np.full(1000, 7), np.tile(np.arange(7), 1000), np.ones(7000, dtype=np.uint32))
+    cut = list(pitman_yor.blocks(pitman_yor.Model(np.zeros(0, np.uint64)), 0, pickle.dumps(load)))
+    assert max(len(b.count) for b in cut) <= 300 and np.concatenate([b.words for b in cut]).tolist() == n.tolist()
+
+
+def test_a_part_sends_its_sums_by_batch():
+    rows = [(i, "same" if i else "other") for i in range(50)]
+    batch = pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows], "held": [False] * 50}).to_batches()[0]
+    listed = []
+    for part, load in pitman_yor._packed(batch, 7, 64, np.zeros(0, np.uint64)):
+        merged = pitman_yor._merge(pitman_yor.pd.DataFrame({"part": [part] * 2, "load": [load] * 2}))
+        entries, places = (pickle.loads(merged[c][0]) for c in ("entries", "places"))
+        sums = list(pitman_yor.document_sums([np.ones(9)], entries, places))
+        assert [first for first, _, _ in sums] == [7, 7] and all((t == v).all() for _, _, (t, v) in sums)
+        listed.append(len(sums[0][1]))
+    assert sorted(listed) == [1, 49, 50]
+
+
+def test_large_rows_are_read_one_at_a_time(spark):
+    rows = spark.range(6, numPartitions=1).selectExpr("id", "cast(repeat(sha2(cast(id as string), 512), 16384) as binary) as load")
+    files = tables.stored(rows, "large-rows", "uncompressed", tables.ROW_BY_ROW).inputFiles()
+    assert [pq.ParquetFile(f.removeprefix("file://")).metadata.num_row_groups for f in files] == [6]
+
+
 def test_nothing_to_learn_from(spark):
     rows = [(i, prose(i, 30)) for i in range(200) if held_out(i)]
     got = pitman_yor.score(frame(spark, rows)).collect()
