@@ -6,8 +6,9 @@ the log of how much likelier the trusted one makes them. The threshold is read f
 that did not help to make the multinomial, and then every document is decided by comparison alone.
 
 All of it is DataFrame functions: a text is an array of words within its row, so nothing but bucket
-counts, bounded by ``BUCKETS``, is shuffled. The labelled documents are the only sample: at most
-``LABELLED`` ids, lowest hash first, and these are broadcast.
+counts, bounded by ``BUCKETS``, and the scores of trusted documents is shuffled. Every trusted document
+counts: each is in one of two halves, the one that makes the multinomial or the one that the threshold is
+read from. Their ids are broadcast by ``PIECE`` of them, with one pass over the documents for each piece.
 
 Cases: a null or empty text has no words, score 0 and fails the base rule; repeated rows and null ids
 are rows like any other; without trusted documents all scores are 0 and only the base rule decides;
@@ -24,7 +25,7 @@ from fleetscope.llm.tables import set_aside, stored
 from fleetscope.llm.textcols import SPACES, let, word_array
 
 BUCKETS = 1 << 14
-LABELLED = 20_000
+PIECE = 1_000_000
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 #: Share of the trusted documents that may score below the threshold.
@@ -109,23 +110,32 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """At most ``LABELLED`` ids of documents labelled good and not toxic, lowest hash first; every second
-    one serves to make the multinomial, the others to read the threshold."""
+    """The ids of all documents labelled good and not toxic; every second one, by hash, serves to make the
+    multinomial, the others to read the threshold."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    order = F.xxhash64("doc_id")
-    return good.orderBy(order, "doc_id").limit(LABELLED).select("doc_id", (F.pmod(order, F.lit(2)) == 0).alias("fits"))
+    return good.withColumn("fits", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+
+
+def _pieces(ids: DataFrame) -> list[DataFrame]:
+    """All of ``ids`` (doc_id), in pieces of about ``PIECE``."""
+    n = max(1, -(-ids.count() // PIECE))
+    piece = F.pmod(F.xxhash64("doc_id", F.lit(n)), F.lit(n))
+    return [F.broadcast(ids.where(piece == i)) for i in range(n)]
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text") -> DataFrame:
     """One row with an array: for each bucket, log(trusted share / raw share), both with one added.
 
-    The raw counts are those of all documents; ``trusted`` is the bounded list of ``trusted_ids``.
+    The raw counts are those of all documents; ``trusted`` has the ids of ``trusted_ids``.
     """
-    fits = trusted.where("fits").select("doc_id", F.lit(1).alias("__fits"))
-    rows = docs.select("doc_id", text).join(F.broadcast(fits), "doc_id", "left")
-    grams = _with_hashes(rows, text).select("__fits", F.explode(_ngrams()).alias("ngram"))
-    grams = grams.select("__fits", _bucket(F.col("ngram")).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("__fits").alias("good"))
+    first, *others = _pieces(trusted.where("fits").select("doc_id", F.lit(1).alias("__fits")))
+    texts = docs.select("doc_id", text)
+    rows = texts.join(first, "doc_id", "left").withColumn("__raw", F.lit(1))
+    for piece in others:
+        rows = rows.unionByName(texts.join(piece, "doc_id"), allowMissingColumns=True)
+    grams = _with_hashes(rows, text).select("__raw", "__fits", F.explode(_ngrams()).alias("ngram"))
+    grams = grams.select("__raw", "__fits", _bucket(F.col("ngram")).alias("bucket"))
+    counts = grams.groupBy("bucket").agg(F.count("__raw").alias("raw"), F.count("__fits").alias("good"))
     every = docs.sparkSession.range(0, BUCKETS, 1, 1).withColumnRenamed("id", "bucket")
     filled = every.join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
     listed = filled.agg(
@@ -149,11 +159,17 @@ def _with_score(hashed: DataFrame, ratios: DataFrame) -> DataFrame:
 
 def threshold(docs: DataFrame, trusted: DataFrame, ratios: DataFrame, text: str = "text") -> DataFrame:
     """One row: the score that all but ``TAIL`` of the trusted documents not fitted to exceed; never
-    above 0, where both multinomials agree."""
-    rows = docs.select("doc_id", text).join(F.broadcast(trusted.where("not fits").select("doc_id")), "doc_id")
+    above 0, where both multinomials agree. Only the lowest scores, up to the place of the threshold, meet."""
+    first, *others = (docs.select("doc_id", text).join(p, "doc_id") for p in _pieces(trusted.where("not fits").select("doc_id")))
+    rows = first
+    for other in others:
+        rows = rows.unionByName(other)
     scores = _with_score(_with_hashes(rows, text).where(F.size(_HASHES) >= 20), ratios).select("score")
-    low = F.percentile("score", F.lit(TAIL))
-    return scores.agg(F.least(F.coalesce(low, F.lit(0.0)), F.lit(0.0)).alias("threshold"))
+    scores = stored(scores, "trusted-scores")
+    place = TAIL * max(scores.count() - 1, 0)
+    lowest = int(place) + 2
+    low = F.percentile("score", F.lit(place / (lowest - 1)))
+    return scores.orderBy("score").limit(lowest).agg(F.least(F.coalesce(low, F.lit(0.0)), F.lit(0.0)).alias("threshold"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:

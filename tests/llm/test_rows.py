@@ -98,6 +98,24 @@ def test_threshold_is_the_trusted_tail(spark):
     assert abs(quality.threshold(docs, trusted, ratios).first()[0] - min(tail, 0)) < 1e-9
 
 
+@pytest.mark.parametrize("piece", [1_000_000, 9_000])
+def test_every_trusted_document_counts(spark, monkeypatch, piece):
+    """More of them than a list that was cut at 20,000 had."""
+    monkeypatch.setattr(quality, "PIECE", piece)
+    labels = spark.range(25_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    trusted = quality.trusted_ids(labels)
+    assert trusted.count() == 25_000
+    rows = [(i, prose(i, 30, 50)) for i in range(60)]
+    ratios = quality.log_ratios(frame(spark, rows), trusted).first()["ratios"]
+    fits = {r["doc_id"] for r in trusted.where("fits").collect()}
+    scores = [sum(ratios[g] for g in grams_of(t)) / len(grams_of(t)) for _, t in rows]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(scores, brute_scores(rows, fits)))
+    rest = sorted(s for (d, _), s in zip(rows, scores) if d not in fits)
+    tail = rest[0] + (rest[1] - rest[0]) * quality.TAIL * (len(rest) - 1)
+    found = quality.threshold(frame(spark, rows), trusted, quality.log_ratios(frame(spark, rows), trusted)).first()[0]
+    assert abs(found - min(tail, 0)) < 1e-9
+
+
 # ---- mixing --------------------------------------------------------------------------------------
 
 
