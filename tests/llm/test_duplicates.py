@@ -1,14 +1,18 @@
 """Near duplicates and repeated passages against brute force."""
 
+import glob
 import itertools
+import os
 import random
+import tempfile
+import time
 
 import numpy as np
 import pytest
 from messy import frame, prose, rows_of, texts, words_of
 from pyspark.sql import functions as F
 
-from fleetscope.llm import near, queries, substrings
+from fleetscope.llm import near, queries, substrings, tables
 
 
 def shingle_set(text, k):
@@ -275,3 +279,15 @@ def test_near_passages_are_candidates(spark):
     docs = frame(spark, near_passages(n, 7)).select("doc_id", "text").withColumn("h", F.xxhash64("text"))
     met = {(r["doc"], r["doc2"]) for r in substrings.candidates(docs).collect()}
     assert [i for i in range(n) if (2 * i + 1, 2 * i) not in met] == []
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    folder = os.environ.get("SPARK_LOCAL_DIRS", spark.conf.get("spark.local.dir", tempfile.gettempdir()))
+    files = lambda: set(glob.glob(f"{folder}/blockmgr-*/*/shuffle_*.data"))
+    before, setting = files(), spark.conf.get(tables.FREE_SHUFFLES)
+    table = tables.stored(spark.range(100_000).groupBy(F.col("id") % 1000).count(), "counts")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert files() - before == set() and spark.conf.get(tables.FREE_SHUFFLES) == setting
+    assert table.agg(F.sum("count")).first()[0] == 100_000
