@@ -12,9 +12,10 @@ one bit of every token within ``SIDE`` of its least one. A mask chooses some of
 one key that agree on a mask form a group of which each is paired with the first, in order of document and
 place. There is a mask for every way in which a passage of ``MIN_WORDS`` words can lie around the least token,
 so an exact passage is always paired with the first document that has it, whatever else shares the key; and
-one for every two stretches of ``STRETCH`` tokens, which stay alike when words in between differ, for windows
-that share no whole passage with their partners. A mask on which an earlier partner of the window agrees
-already gives no further one, so copies make one pair. Besides, each window is paired with the first one of
+one for every two stretches or more of ``STRETCH`` tokens, which stay alike when words in between differ, for windows
+that share no whole passage with their partners. A mask on which a partner of the window agrees
+already gives no further one, so copies make one pair; masks of more stretches come first, so that an earlier window
+is left out only if a partner agrees in all stretches in which it does. Besides, each window is paired with the first one of
 its key. Bits of a few tokens past a passage agree by chance, so a passage in n documents can have about
 log2(n) partners; of equal spans of a document the one with the earliest match is reported.
 
@@ -73,6 +74,9 @@ def _masks() -> tuple[np.ndarray, np.ndarray]:
 
 
 EXACT, LOOSE = _masks()
+STRETCHES = [(((1 << STRETCH) - 1) << at, 0)[::way] for way in (1, -1) for at in range(0, SIDE, STRETCH)]
+_SETS = np.arange(1 << len(STRETCHES), dtype=np.int64)  # of stretches, a bit for each
+_BELOW = np.packbits(_SETS[:, None] & _SETS == _SETS, axis=1, bitorder="little")  # the subsets of each set
 RUNS = np.array([(1 << NEAREST) - 1 << at for at in range(0, SIDE, NEAREST)], dtype=np.int64)
 
 
@@ -187,6 +191,40 @@ def _by_masks(masks: np.ndarray, open_: np.ndarray, group, doc, bits, inside) ->
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def _by_stretches(closed: np.ndarray, group, doc, bits, inside) -> tuple[np.ndarray, np.ndarray]:
+    """(row, its partner's row) for rows that are not ``closed``: for every set of two stretches or more on which
+    an earlier partner agrees, the first one, unless a partner of the row agrees on that set and on others."""
+    agree = lambda a, b, s: (s[0] & (bits[0][a] ^ bits[0][b])) | (s[1] & (bits[1][a] ^ bits[1][b])) == 0
+    wide = [(left & ~inside[0] | right & ~inside[1]) == 0 for left, right in STRETCHES]
+
+    def firsts(chosen: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        groups = np.zeros(len(doc) + 1, dtype=bool)
+        groups[group[wanted]] = True
+        parts = [i for i in range(len(STRETCHES)) if chosen >> i & 1]
+        rows = np.flatnonzero(np.logical_and.reduce([groups[group], *(wide[i] for i in parts)]))
+        left, right = (sum(STRETCHES[i][side] for i in parts) for side in (0, 1))
+        first = rows[_first_alike(group[rows], bits[0][rows] & left, bits[1][rows] & right)] if len(rows) else rows
+        take = wanted[rows] & (doc[first] != doc[rows])
+        return rows[take], first[take]
+
+    pairs = [int(x) for x in _SETS if int(x).bit_count() == 2]
+    shared = np.zeros(len(doc), dtype=np.int64)  # the pairs of stretches on which an earlier partner agrees
+    for n, pair in enumerate(pairs):
+        shared[firsts(pair, ~closed)[0]] |= 1 << n
+    found = [(np.zeros(0, np.int64),) * 2]
+    done = np.zeros((len(doc), _BELOW.shape[1]), dtype=np.uint8)  # the sets of stretches that a row needs no more, as bits
+    for chosen in sorted((int(x) for x in _SETS if int(x).bit_count() > 1), key=int.bit_count, reverse=True):
+        within = sum(1 << n for n, pair in enumerate(pairs) if pair & chosen == pair)
+        wanted = (shared & within == within) & (done[:, chosen >> 3] >> (chosen & 7) & 1 == 0)
+        if not wanted.any():
+            continue
+        rows, first = firsts(chosen, wanted)
+        common = sum((agree(rows, first, s) & w[rows] & w[first]).astype(np.int64) << i for i, (s, w) in enumerate(zip(STRETCHES, wide)))
+        done[rows] |= _BELOW[common]
+        found.append((rows, first))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
 def _partners(key, doc, place, before, after) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, its partner's row, whether they agree on a mask or a run) of windows sorted by key and document; ``doc``
     is a number of the document."""
@@ -195,15 +233,14 @@ def _partners(key, doc, place, before, after) -> tuple[np.ndarray, np.ndarray, n
     new = np.ones(n, dtype=bool)
     new[1:] = key[1:] != key[:-1]
     group = np.cumsum(new)
-    found = []
+    open_ = np.empty((n, len(EXACT)), dtype=bool)
+    for m, (left, right) in enumerate(EXACT):
+        open_[:, m] = (left & ~inside[0] | right & ~inside[1]) == 0
+    rows, partner = _by_masks(EXACT, open_, group, doc, bits, inside)
     settled = np.zeros(n, dtype=bool)
-    for masks in (EXACT, LOOSE):
-        open_ = np.empty((n, len(masks)), dtype=bool)
-        for m, (left, right) in enumerate(masks):
-            open_[:, m] = ((left & ~inside[0] | right & ~inside[1]) == 0) & ~settled
-        rows, first = _by_masks(masks, open_, group, doc, bits, inside)
-        settled[rows] = True
-        found.append(rows * n + first)
+    settled[rows] = True
+    own, other = _by_stretches(settled, group, doc, bits, inside)
+    found = [rows * n + partner, own * n + other]
     alike = np.unique(np.concatenate(found))
     first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     plain = np.flatnonzero(doc[first] != doc)

@@ -253,6 +253,52 @@ def test_partners_like_brute_force():
         assert exact or shared(substrings.LOOSE, earlier) == shared(substrings.LOOSE, chosen.get(a, []))
 
 
+def test_no_partner_hides_one_that_shares_more_stretches():
+    """Three earlier windows agree in two stretches each, the fourth in all three of them."""
+    rng = np.random.default_rng(5)
+    stretch = (1 << 12) - 1
+    own = rng.integers(0, 1 << 48, 2)
+    shared = [(0, 1), (1, 2), (0, 2), (0, 1, 2), (0, 1, 2), (1, 2)]
+    sides = [[~own[0] & ~sum(stretch << 12 * i for i in s) | own[0] & sum(stretch << 12 * i for i in s), ~own[1]] for s in shared]
+    before, after = (np.array([*(s[side] for s in sides), own[side]]) & ((1 << 48) - 1) for side in (0, 1))
+    n = len(before)
+    a, b, alike = substrings._partners(np.zeros(n, np.int64), np.arange(n), np.full(n, 48 << 16 | 48), before, after)
+    partners = {int(y) for x, y, sure in zip(a, b, alike) if x == n - 1 and sure}
+    assert 3 in partners and not partners & {1, 2, 4, 5}
+
+
+def test_partners_share_all_stretches_of_any_earlier_window():
+    rng = np.random.default_rng(6)
+    n = 240
+    key, doc = np.sort(rng.integers(0, 8, n)), np.arange(n)
+    left, right = rng.integers(0, 70, n), rng.integers(20, 70, n)
+    whole, other = rng.integers(0, 1 << 48, (2, 8)), rng.integers(0, 1 << 48, (2, n))
+    stretches = np.array([[sum(0xFFF << 12 * i for i in range(4) if rng.random() < 0.6) for _ in range(n)] for _ in range(2)])
+    before, after = whole[:, key] & stretches | other & ~stretches
+    before, after = before & ((1 << np.minimum(left, 48)) - 1), after & ((1 << np.minimum(right, 48)) - 1)
+    own, partner, alike = substrings._partners(key, doc, left << 16 | right, before, after)
+    chosen = {}
+    for a, b in zip(own[alike].tolist(), partner[alike].tolist()):
+        chosen.setdefault(a, []).append(b)
+
+    def agree(a, b, mask):
+        l, r = mask
+        wide = all(l >> min(left[i], 48) == 0 and r >> min(right[i], 48) == 0 for i in (a, b))
+        return wide and not (before[a] ^ before[b]) & l and not (after[a] ^ after[b]) & r
+
+    common = lambda a, b: {i for i, m in enumerate(substrings.STRETCHES) if agree(a, b, m)}
+    hidden = 0
+    for a in range(n):
+        if any(agree(a, b, m) for b in chosen.get(a, []) for m in substrings.EXACT.tolist()):
+            continue
+        for b in range(a):
+            own = common(a, b) if key[a] == key[b] else set()
+            if len(own) > 1:
+                hidden += 1
+                assert any(own <= common(a, u) for u in chosen[a])
+    assert hidden > 100
+
+
 def near_passages(n, seed):
     """(doc_id, text) in pairs: a passage of 50 to 56 words and a changed copy of a similarity just over 0.8."""
     rng, rows = random.Random(seed), []
