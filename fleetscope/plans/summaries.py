@@ -175,7 +175,9 @@ def daily_shipment_facts(
     daily = points.groupBy("lock_id", F.date_trunc("day", "at").alias("day")).agg(*[F.sum(c).alias(c) for c in counted])
     whole = interval_join(daily, _whole_days(spans), "lock_id", "day", "from", "to", ["shipment_pk"], "inner", unit=DAY)
     of_whole = whole.withColumn("date_key", date_key("day")).select(*keys, *counted)
-    edges = _part_days(spans).withColumn("date_key", date_key("from"))
+    edges = _part_days(spans).withColumn("day", F.date_trunc("day", "from"))
+    # pieces of days without a point of the lock add nothing; their shipments are listed by their locks below
+    edges = edges.join(daily.select("lock_id", "day"), ["lock_id", "day"], "left_semi").withColumn("date_key", date_key("day"))
     of_parts = interval_totals(points, edges, "lock_id", "at", "from", "to", counted, keys)
     by_lock = of_whole.unionByName(of_parts).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counted])
     by_day = by_lock.groupBy(*part).agg(
