@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StringType, StructField, StructType
 
 from fleetscope.sources.sinks import BatchTable
 from fleetscope.streaming.reorder import plain_rows
@@ -48,6 +48,10 @@ LONG_OFFLINE = Condition("long_offline", "status = 'offline'", lag=30 * MINUTE)
 MASS_OFFLINE = Condition("mass_offline", "status = 'offline'", hold=5 * MINUTE, tick=MINUTE)
 BATTERY = Condition("battery", "event_type = 'battery_low'", hold=DAY, tick=MINUTE)
 
+#: Into how many shards devices are dealt; a checkpoint keeps the number it was begun with.
+SHARDS = 1024
+_SHARD, _NO_DEVICE = "_shard", -1  # rows without a device only move the clock
+
 Transition = tuple[str, int, int, int]  # what, at, since, rows that opened it so far
 
 
@@ -108,16 +112,16 @@ _OUT = [StructField("what", StringType()), StructField("at", LongType()), Struct
 
 
 class Follow(StatefulProcessor):
-    """State of a device: rows that the watermark has not passed, where its condition stands, and one timer."""
+    """State of a shard of devices: rows that the watermark has not passed, where conditions hold, and one timer."""
 
     def __init__(self, rule: Condition, key: StructField):
         self.rule, self.key = rule, key
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", StructType(_ROW))
-        held = [StructField(n, LongType()) for n in (*Tracker.FIELDS, "timer")]
-        self.stands = handle.getValueState("stands", StructType(held))
+        self.waiting = handle.getListState("waiting", StructType([self.key, *_ROW]))
+        self.stands = handle.getListState("stands", StructType([self.key, *[StructField(n, LongType()) for n in Tracker.FIELDS]]))
+        self.timer = handle.getValueState("timer", StructType([StructField("at", LongType())]))
 
     def _passed(self, timer_values) -> int:
         """Microseconds that lie behind the watermark, whole ticks of them."""
@@ -126,70 +130,84 @@ class Follow(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         to = self._passed(timerValues)
-        new = [r for part in rows for r in plain_rows(part[["at", "tie", "opens"]])]
-        if key[0] is None:
+        if key[0] == _NO_DEVICE:
             return
-        late = [r for r in new if r[0] <= to]
+        new = [r for part in rows for r in self._rows(part)]
+        late = [r for r in new if r[1] <= to]
         if late:
-            yield self._frame(key, [(LATE, r[0], r[0], 1) for r in late])
-        new = sorted(r for r in new if r[0] > to)
+            yield self._frame([(r[0], LATE, r[1], r[1], 1) for r in late])
+        new = [r for r in new if r[1] > to]
         if new:
             self.waiting.appendList(new)
-            stood = self.stands.get() or (None, None, None, None, 0, None)
-            self._remind(stood[-1], new[0][0], stood)
+            self._remind(min(r[1] for r in new))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         to = self._passed(timerValues)
-        stood = self.stands.get() or (None, None, None, None, 0, None)
-        tracker = Tracker(self.rule, stood[:-1])
-        rows = sorted(tuple(r) for r in self.waiting.get())
-        passed = [r for r in rows if r[0] <= to]
-        for at, _, opens in passed:
-            tracker.row(at, bool(opens))
-        tracker.advance(to)
+        passed, ahead, found = {}, [], []
+        for device, *row in self.waiting.get():
+            passed.setdefault(device, []).append(tuple(row)) if row[0] <= to else ahead.append((device, *row))
+        stood = {device: tuple(state) for device, *state in self.stands.get()}
+        stands, due = {}, [at for _, at, *_ in ahead]
+        for device in stood.keys() | passed.keys():
+            tracker = Tracker(self.rule, stood.get(device))
+            for at, _, opens in sorted(passed.get(device, ())):
+                tracker.row(at, bool(opens))
+            tracker.advance(to)
+            found += [(device, *told) for told in tracker.out]
+            if tracker.start is not None or tracker.raised is not None:  # nothing is left of a device that is well
+                stands[device] = tracker.state()
+                due.append(tracker.due())
         if passed:
-            self.waiting.put(rows[len(passed) :]) if len(passed) < len(rows) else self.waiting.clear()
-        ahead = [t for t in (tracker.due(), rows[len(passed)][0] if len(passed) < len(rows) else None) if t is not None]
-        if ahead:
-            self._remind(None, min(ahead), (*tracker.state(), None))
-        elif tracker.raised is not None:
-            self.stands.update((*tracker.state(), None))
-        else:
-            self.stands.clear()  # nothing is left of a device that is silent and well
-        if tracker.out:
-            yield self._frame(key, tracker.out)
-
-    def _remind(self, timer: int | None, at: int, stood: tuple) -> None:
-        """See that a timer goes off as soon as the watermark has passed the tick of ``at``."""
+            self.waiting.put(ahead) if ahead else self.waiting.clear()
+        if stands != stood:
+            self.stands.put([(device, *state) for device, state in stands.items()]) if stands else self.stands.clear()
+        self.timer.clear()
+        due = [at for at in due if at is not None]
+        if due:
+            self._remind(min(due))
+        if found:
+            yield self._frame(found)
+
+    def _remind(self, at: int) -> None:
+        """See that the timer goes off as soon as the watermark has passed the tick of ``at``."""
         tick = self.rule.tick
         wanted = (-(-at // tick) * tick + 999) // 1000  # a timer goes off once the watermark is greater
-        if timer is None or wanted < timer:
+        timer = self.timer.get()
+        if timer is None or wanted < timer[0]:
             if timer is not None:
-                self.handle.deleteTimer(timer)
+                self.handle.deleteTimer(timer[0])
             self.handle.registerTimer(wanted)
-            timer = wanted
-        self.stands.update((*stood[:-1], timer))
+            self.timer.update((wanted,))
+
+    def _rows(self, part: pd.DataFrame) -> list[tuple]:
+        """Device, at, tie and opens; whole-number devices stay whole where pandas made them floats."""
+        own = plain_rows(part[[self.key.name, "at", "tie", "opens"]])
+        return [(int(r[0]), *r[1:]) for r in own] if isinstance(self.key.dataType, IntegralType) else own
 
-    def _frame(self, key, found: list[Transition]) -> pd.DataFrame:
-        out = pd.DataFrame(found, columns=[f.name for f in _OUT])
-        out.insert(0, self.key.name, key[0])
-        return out
+    def _frame(self, found: list[tuple]) -> pd.DataFrame:
+        """Transitions with their device in front."""
+        return pd.DataFrame(found, columns=[self.key.name, *[f.name for f in _OUT]])
 
     def close(self) -> None:
         pass
 
 
-def transitions(stream: DataFrame, rule: Condition, key: str, ts: str, tie: str, delay: str = "10 minutes") -> DataFrame:
+def transitions(
+    stream: DataFrame, rule: Condition, key: str, ts: str, tie: str, delay: str = "10 minutes", shards: int = SHARDS
+) -> DataFrame:
     """Columns key, what (raised, withdrawn or late), at, since and n of every device's condition.
 
-    Rows of equal time count in the order of ``tie``, a whole number or its text.
+    Rows of equal time count in the order of ``tie``, a whole number or its text. A call of the stateful function
+    costs some milliseconds whatever it works on, so devices are dealt into ``shards`` that share one call.
     """
     kind = StructField(key, stream.schema[key].dataType)
     at = F.unix_micros(ts)
     opens = F.coalesce(F.expr(rule.opens), F.lit(False)).cast("bigint")
     # the watermark hangs on a column that is dropped: rows behind it are to be counted, not to be lost
     rows = stream.withWatermark(ts, delay).select(key, at.alias("at"), F.col(tie).cast("bigint").alias("tie"), opens.alias("opens"))
-    followed = rows.groupBy(key).transformWithStateInPandas(
+    shard = F.pmod(F.xxhash64(key), F.lit(shards))
+    rows = rows.withColumn(_SHARD, F.when(F.col(key).isNull(), F.lit(_NO_DEVICE)).otherwise(shard).cast("bigint"))
+    followed = rows.groupBy(_SHARD).transformWithStateInPandas(
         statefulProcessor=Follow(rule, kind),
         outputStructType=StructType([kind, *_OUT]),
         outputMode="append",
